@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every model of the metrics engine is a batch query over billing tables with an
+explicit as-of date; the reference has no stream, watermark, event-time window
+or state. A refresh is a batch re-run (``tallyspark.plans``), so no Structured
+Streaming operator is defined here.
+"""
