@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import add_months, as_of_month, lit_date, lit_ts, month_start
-from tallyspark.functions.money import twelfths_to_units
+from tallyspark.functions.money import cents_to_units, twelfths_to_units
 from tallyspark.operators.staging import live_invoices
 
 EXCLUDED_STATUSES = ("uncollectible", "void", "deleted")
@@ -163,7 +163,9 @@ def expected_invoices(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.da
 
 
 def annual_invoices(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
-    return _units(_annual(_billable(invoice, subscriptions, as_of)))
+    # an annual invoice's own amount is in cents (its instalments are twelfths)
+    return (_annual(_billable(invoice, subscriptions, as_of))
+            .withColumn("amount", cents_to_units("amount")))
 
 
 def annual_spread(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date) -> DataFrame:

@@ -50,5 +50,7 @@ def export_csv(df: DataFrame, path: str) -> DataFrame:
     """
     small = df.limit(EXPORT_MAX_ROWS + 1).count() <= EXPORT_MAX_ROWS
     out = df.coalesce(1) if small else df
-    out.write.mode("overwrite").option("header", True).csv(path)
-    return df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
+    # keep labels verbatim: one of them ends in a space
+    opts = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    out.write.mode("overwrite").options(**opts).csv(path)
+    return df.sparkSession.read.schema(df.schema).options(**opts).csv(path)

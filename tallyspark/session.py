@@ -75,6 +75,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g")))
     if shuffle_partitions is not None:
