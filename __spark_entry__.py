@@ -25,7 +25,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle.models_sql import oracle_queries  # noqa: E402
 from tallyspark.operators import (exports, monthly, quarterly, revenue,  # noqa: E402
                                   staging, trials)
-from tallyspark.plans import ModelSet, sinks  # noqa: E402
+from tallyspark.plans import SHARED_MODELS, ModelSet, sinks  # noqa: E402
 from tallyspark.session import AS_OF_TEST, checkpoint_dir, ensure_session_conf  # noqa: E402
 from tallyspark.sources import derive_billing_tables  # noqa: E402
 
@@ -35,9 +35,18 @@ AS_OF = AS_OF_TEST
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _models(spark: SparkSession, sf_dir: str, **kw) -> ModelSet:
+# One model set per (application, data folder): models read by several others are
+# written once to the shared checkpoint folder and read back by every later key.
+_MODEL_SETS: dict[tuple[str, str], ModelSet] = {}
+
+
+def _models(spark: SparkSession, sf_dir: str) -> ModelSet:
     ensure_session_conf(spark)
-    return ModelSet(derive_billing_tables(spark, sf_dir), AS_OF, **kw)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _MODEL_SETS:
+        _MODEL_SETS[key] = ModelSet(derive_billing_tables(spark, sf_dir), AS_OF,
+                                    materialize=SHARED_MODELS)
+    return _MODEL_SETS[key]
 
 
 def _model(name: str) -> Query:
@@ -105,8 +114,11 @@ def _sink_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _read_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # revenue materialised into the shared folder, then read as a table
-    return _models(spark, sf_dir, materialize=["revenue"]).model("revenue")
+    # revenue is materialised into the shared folder; read it as a table
+    ms = _models(spark, sf_dir)
+    path = ms.table_path("revenue")
+    ms.model("revenue")
+    return spark.read.parquet(path)
 
 
 def _build_until(spark: SparkSession, sf_dir: str) -> DataFrame:

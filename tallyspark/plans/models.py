@@ -77,7 +77,7 @@ class ModelSet:
                 raise KeyError(f"unknown model {name!r}; known: {', '.join(self._defs)}")
             df = self._defs[name]()
             if name in self._materialize:
-                df = sinks.write_model_table(df, self._table_path(name), force=True)
+                df = sinks.write_model_table(df, self.table_path(name), force=True)
             self._built[name] = df
         return self._built[name]
 
@@ -88,7 +88,8 @@ class ModelSet:
         return self.model(name)
 
     # ---------------------------------------------------------------- helpers
-    def _table_path(self, name: str) -> str:
+    def table_path(self, name: str) -> str:
+        """Where a materialised model is stored (under the shared checkpoint folder)."""
         if self._folder is None:
             self._folder = f"{checkpoint_dir(self.spark).rstrip('/')}/models-{uuid.uuid4().hex}"
         return f"{self._folder}/{name}"
