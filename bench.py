@@ -38,7 +38,8 @@ def main() -> None:
     t0 = time.time()
     derived = derive_billing_tables(spark, sf_dir)
     for name, df in derived.as_dict().items():
-        df.write.mode("overwrite").parquet(f"{work}/billing/{name}")
+        # stored as several files, like any real table (one file = one scan task)
+        df.repartition(2 * int(cpus)).write.mode("overwrite").parquet(f"{work}/billing/{name}")
     prepare = time.time() - t0
 
     tables = read_billing_tables(spark, f"{work}/billing")

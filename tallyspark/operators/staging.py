@@ -235,16 +235,19 @@ STG_ITEM_COLUMNS = [
 
 def stg_subscription_item(item: DataFrame, price: DataFrame, product: DataFrame,
                           product_config: DataFrame, tier: DataFrame,
-                          broadcast_prices: bool | None = None) -> DataFrame:
+                          broadcast_prices: bool | None = None,
+                          prices: DataFrame | None = None) -> DataFrame:
     """Subscription lines with their price attributes and priced amount.
 
     When the priced-tier table is proven small it is broadcast with each price's
     tiers as an array, and every item is priced in the scan stage: no shuffle of
     the item table at all. Otherwise the relational path prices item × tier rows,
     sums them per item (one shuffle on item id) and joins the sum back.
-    Item ids are assumed unique (they are the table's key).
+    Item ids are assumed unique (they are the table's key). ``prices`` may pass
+    an already built :func:`priced` table.
     """
-    prices = priced(price, product, product_config)
+    if prices is None:
+        prices = priced(price, product, product_config)
     if broadcast_prices is None:
         broadcast_prices = fits_broadcast(price_tier_table(prices, tier))
     if broadcast_prices:

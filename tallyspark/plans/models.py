@@ -21,9 +21,13 @@ from tallyspark.plans import sinks
 from tallyspark.session import checkpoint_dir
 from tallyspark.sources.readers import BillingTables
 
-# Models worth materialising when several downstream models are built together.
-SHARED_MODELS = ("stg_subscription", "revenue", "quarterly_arr", "quarterly_customers",
-                 "quarterly_trialers")
+# Models read by other models. Materialising them (as the reference persists every
+# saved model) computes each once when the whole graph is built; only the two
+# public exports stay lazy.
+SHARED_MODELS = ("stg_customer", "stg_price", "stg_tier", "stg_subscription_item",
+                 "stg_subscription", "stg_invoice", "revenue", "monthly_arr",
+                 "monthly_customers", "monthly_trialers", "quarterly_arr",
+                 "quarterly_customers", "quarterly_trialers")
 
 
 class ModelSet:
@@ -37,6 +41,7 @@ class ModelSet:
         self._materialize = set(materialize)
         self._folder = folder
         self._built: dict[str, DataFrame] = {}
+        self._prices: DataFrame | None = None
         self._defs: dict[str, Callable[[], DataFrame]] = self._definitions()
 
     # ---------------------------------------------------------------- graph
@@ -44,10 +49,11 @@ class ModelSet:
         t, a, m = self.tables, self.as_of, self.model
         return {
             "stg_customer": lambda: staging.stg_customer(t.customer, t.card),
-            "stg_price": lambda: staging.stg_price(t.price, t.product, t.product_config),
+            "stg_price": lambda: self.prices.select(*staging.STG_PRICE_COLUMNS),
             "stg_tier": lambda: staging.stg_tier(t.tier),
             "stg_subscription_item": lambda: staging.stg_subscription_item(
-                t.subscription_item, t.price, t.product, t.product_config, t.tier),
+                t.subscription_item, t.price, t.product, t.product_config, t.tier,
+                prices=self.prices),
             "stg_subscription": lambda: staging.stg_subscription(
                 t.subscription_history, m("stg_customer"), m("stg_subscription_item")),
             "stg_invoice": lambda: staging.stg_invoice(
@@ -66,6 +72,14 @@ class ModelSet:
                 m("quarterly_arr"), m("quarterly_customers"), m("quarterly_trialers")),
         }
 
+    @property
+    def prices(self) -> DataFrame:
+        """Live prices with product config applied and exact cents (built once)."""
+        if self._prices is None:
+            t = self.tables
+            self._prices = staging.priced(t.price, t.product, t.product_config)
+        return self._prices
+
     @property
     def names(self) -> list[str]:
         return list(self._defs)

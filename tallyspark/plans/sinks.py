@@ -19,7 +19,7 @@ def write_model_table(df: DataFrame, path: str, force: bool = False,
     """
     mode = "overwrite" if force else "ignore"
     df.write.mode(mode).format(fmt).save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
 
 
 def cache_model(df: DataFrame, no_cache: bool = False) -> DataFrame:
