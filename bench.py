@@ -17,7 +17,7 @@ import json
 import os
 import re
 import sys
-import tempfile
+import uuid
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -33,7 +33,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * int(cpus))))
     spark = get_session(f"local[{cpus}]", parts, app_name="tallyspark-bench")
-    work = tempfile.mkdtemp(prefix="bench-", dir=checkpoint_dir(spark))
+    work = f"{checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex}"
 
     t0 = time.time()
     derived = derive_billing_tables(spark, sf_dir)

@@ -19,11 +19,13 @@ def broadcast_max_rows(df: DataFrame) -> int:
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows per partition (a bounded
-    ``limit`` + ``count``), so it stays cheap even when the table is huge.
+    A plain ``count()``: every partition counts its own rows and only one number
+    per partition is shuffled, so the check is exact and cheap even when the
+    table turns out to be large (a ``limit`` would funnel rows into one task).
+    Only used on dimension tables (prices, products, tiers, config).
     """
     limit = broadcast_max_rows(df) if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
+    return df.count() <= limit
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:

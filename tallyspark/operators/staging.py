@@ -198,8 +198,8 @@ def item_amount(item: DataFrame, price: DataFrame, product: DataFrame,
 def price_tier_table(prices: DataFrame, tier: DataFrame) -> DataFrame:
     """One row per live price with its tiers as an array.
 
-    Only used after the whole result was proven small enough to broadcast, which
-    also bounds every array by that proven size.
+    Only used after the price and tier tables were each proven to hold at most
+    the broadcast bound of rows, which bounds the whole table and every array.
     """
     tiers = (tier_bounds(tier)
              .groupBy("price_id")
@@ -249,7 +249,8 @@ def stg_subscription_item(item: DataFrame, price: DataFrame, product: DataFrame,
     if prices is None:
         prices = priced(price, product, product_config)
     if broadcast_prices is None:
-        broadcast_prices = fits_broadcast(price_tier_table(prices, tier))
+        # one row per price, each carrying its tiers: bound both
+        broadcast_prices = fits_broadcast(prices) and fits_broadcast(tier)
     if broadcast_prices:
         pt = price_tier_table(prices, tier)
         src = item.join(F.broadcast(pt), item.plan_id == pt.id, "left")
@@ -316,8 +317,10 @@ def main_plan(items: DataFrame) -> DataFrame:
     agg = (items.groupBy("subscription_id")
            .agg(F.sum(to_cents("price_amount")).alias("_cents"),
                 F.min_by(F.when(is_main, plan), F.when(is_main, order)).alias("_plan")))
+    # the total is attached by subscription id, which a NULL id never matches
+    total = F.when(F.col("subscription_id").isNotNull(), cents_to_units("_cents"))
     return (agg.where(F.col("_plan").isNotNull())
-            .select("subscription_id", "_plan.*", cents_to_units("_cents").alias("plan_amount"))
+            .select("subscription_id", "_plan.*", total.alias("plan_amount"))
             .select(*PLAN_COLUMNS))
 
 

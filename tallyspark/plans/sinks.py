@@ -45,10 +45,10 @@ def export_csv(df: DataFrame, path: str) -> DataFrame:
     """Publish an export as one CSV file with a header; returns it read back.
 
     One file is only written after checking the export is within
-    ``EXPORT_MAX_ROWS`` (a bounded ``limit`` + ``count``); larger outputs are
-    written as one file per partition.
+    ``EXPORT_MAX_ROWS`` (a ``count``); larger outputs are written as one file
+    per partition.
     """
-    small = df.limit(EXPORT_MAX_ROWS + 1).count() <= EXPORT_MAX_ROWS
+    small = df.count() <= EXPORT_MAX_ROWS
     out = df.coalesce(1) if small else df
     # keep labels verbatim: one of them ends in a space
     opts = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}

@@ -53,6 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder every "
+                               "executor can reach (HDFS, object store) before building models")
         path = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
