@@ -11,6 +11,7 @@ executor only recomputes from the last written model.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -115,7 +116,8 @@ class ModelSet:
 
     def adhoc_sql(self, text: str) -> DataFrame:
         """Run one SQL text over the models (registered as views) and the raw tables
-        (as ``raw_<table>``); errors raise as usual."""
+        (as ``raw_<table>``); errors raise as usual. Only the models the text names
+        are built."""
         self.tables.register_views(prefix="raw_")
-        self.register_views()
+        self.register_views([n for n in self.names if re.search(rf"\b{n}\b", text)])
         return self.spark.sql(text)
