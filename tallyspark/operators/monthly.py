@@ -7,9 +7,9 @@ come out of one window over the (customer, month) totals: each active month
 row is exploded into itself plus the empty months that follow it up to the next
 active month (or one month for the last). The previous/next totals of every
 spine month follow from the neighbouring active months, so no spine table and
-no join is needed. Plan: partial aggregate of revenue by (customer, month) ->
+no join is needed. Plan: one scan of revenue -> partial aggregate by (customer, month) ->
 shuffle -> shuffle by customer for the window -> explode (map side) -> partial
-aggregate by month -> a global window over one row per month.
+aggregate by month -> a global window over one row per month. No join.
 
 Skew: a customer with a third of all revenue rows is reduced to one row per
 month by the map-side partial aggregate before any shuffle by customer, so the
@@ -60,33 +60,36 @@ def customer_months(revenue: DataFrame) -> DataFrame:
     all have NULL totals (NULL never matches in the join), and its revenue forms
     one extra row with a NULL month, ordered after that customer's last month.
     """
-    cm = (revenue.groupBy(CUST, month_start("recognized_at").alias("month"))
-          .agg(F.sum(to_twelfths("amount")).alias("_raw")))
-    # revenue without a customer: one extra row with a NULL month (sorted last)
-    orphan = (cm.where(F.col(CUST).isNull())
-              .groupBy(CUST, F.lit(None).cast("date").alias("month"))
-              .agg(F.sum("_raw").alias("_raw")))
-    # the NULL customer's spine months carry no total; its NULL-month row does
-    t = F.when(F.col(CUST).isNotNull() | F.col("month").isNull(), F.col("_raw"))
+    known = F.col(CUST).isNotNull()
     w = Window.partitionBy(CUST).orderBy(F.col("month").asc_nulls_last())
-    cm = cm.unionByName(orphan).withColumn("_t", t).select(
-        CUST, "month", "_t",
-        F.lag("month").over(w).alias("_pm"), F.lag("_t").over(w).alias("_pt"),
-        F.lead("month").over(w).alias("_nm"), F.lead("_t").over(w).alias("_nt"))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # the NULL customer's months carry no total (NULL never matches the spine)
+    cm = (revenue.groupBy(CUST, month_start("recognized_at").alias("month"))
+          .agg(F.sum(to_twelfths("amount")).alias("_raw"))
+          .withColumn("_t", F.when(known, F.col("_raw"))))
+    # one Window operator: neighbours by month, and the customer's whole total
+    cm = cm.select(CUST, "month", "_t",
+                   F.lag("month").over(w).alias("_pm"), F.lag("_t").over(w).alias("_pt"),
+                   F.lead("month").over(w).alias("_nm"), F.lead("_t").over(w).alias("_nt"),
+                   F.sum("_raw").over(whole).alias("_all"))
 
     # each active month row stands for itself and the empty months up to the next
-    # active month; the last one also for the month after it (the churn month)
-    n = (F.when(F.col("month").isNull(), F.lit(1))
-         .when(F.col("_nm").isNull(), F.lit(2))
+    # active month; the last one also for the month after it (the churn month), and
+    # the NULL customer's last one also for the NULL-month row of its whole revenue
+    last = F.col("_nm").isNull()
+    orphan_tail = ~known & last
+    n = (F.when(last, F.when(known, F.lit(2)).otherwise(F.lit(3)))
          .otherwise(F.months_between("_nm", "month").cast("int")))
     j = F.col("_j")
-    total = F.when(j == 0, F.col("_t"))
+    null_row = orphan_tail & (j == 2)
+    month = F.when(null_row, F.lit(None).cast("date")).otherwise(F.add_months("month", j))
+    total = F.when(j == 0, F.col("_t")).when(null_row, F.col("_all"))
     previous = (F.when(j == 0, F.when(F.col("_pm") == F.add_months("month", -1), F.col("_pt")))
                 .when(j == 1, F.col("_t")))
     nxt = (F.when(F.add_months("month", j + 1) == F.col("_nm"), F.col("_nt"))
-           .when(F.col("_nm").isNull() & (j == 1), F.col("_nt")))
+           .when(orphan_tail & (j == 1), F.col("_all")))
     return (cm.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("_j"))
-            .select(F.add_months("month", j).alias("month"), CUST, total.alias("total"),
+            .select(month.alias("month"), CUST, total.alias("total"),
                     previous.alias("previous"), nxt.alias("next")))
 
 

@@ -111,7 +111,7 @@ class ModelSet:
 
     def register_views(self, names: Iterable[str] | None = None) -> None:
         """Expose models (default: all) to SQL as temp views of the same name."""
-        for n in (names or self.names):
+        for n in (self.names if names is None else names):
             self.model(n).createOrReplaceTempView(n)
 
     def adhoc_sql(self, text: str) -> DataFrame:
