@@ -28,13 +28,6 @@ BRANCH_COLUMNS = [
     "stripe_customer_id", "stripe_subscription_id", "customer_name", "stripe_product_id",
 ]
 
-REVENUE_COLUMNS = [
-    "id", "customer_name", "recognized_at", "month", "amount", "is_actual", "is_auto_renewal",
-    "product_name", "billing_cycle", "stripe_customer_id", "stripe_subscription_id",
-    "stripe_product_id",
-]
-
-
 def auto_renewal_flag(cancel_at: Column, cancel_at_period_end: Column) -> Column:
     """Renews by itself: no cancel date and not cancelling at period end (NULL-able)."""
     return cancel_at.isNull() & ~cancel_at_period_end
