@@ -36,7 +36,9 @@ def _maybe(r, v, p=0.15):
     return None if r.random() < p else v
 
 
-def make_tables(seed: int) -> dict[str, list[dict]]:
+def make_tables(seed: int, hot: bool = False) -> dict[str, list[dict]]:
+    """Random billing tables; with ``hot``, a third of all invoices belong to one
+    subscription of one customer (a hot key for every revenue shuffle)."""
     r = random.Random(seed)
     n_cust, n_price, n_sub = 60, 40, 150
     cust = [{"id": f"cus_{i}", "name": _maybe(r, f"N{i}", 0.3),
@@ -132,6 +134,16 @@ def make_tables(seed: int) -> dict[str, list[dict]]:
     for _ in range(100):
         invoice(n, r.randrange(n_sub + 2), _day(r) + dt.timedelta(days=r.randrange(0, 500)))
         n += 1
+    if hot:
+        subs[0].update({"customer_id": "cus_0", "livemode": True, "_fivetran_active": True})
+        items.append({"id": "si_hot", "created": dt.datetime(1990, 1, 1), "quantity": 1,
+                      "subscription_id": "sub_0", "plan_id": "price_hot"})
+        price.append({"id": "price_hot", "billing_scheme": "per_unit", "unit_amount": 999,
+                      "recurring_interval": "month", "recurring_interval_count": 1,
+                      "product_id": "prod_0", "livemode": True, "is_deleted": False})
+        for _ in range(len(invoices) // 2):
+            invoice(n, 0, _day(r) + dt.timedelta(days=r.randrange(0, 500)))
+            n += 1
     return {"customer": cust, "card": card, "product": product, "product_config": config,
             "price": price, "tier": tier, "subscription_item": items,
             "subscription_history": subs, "invoice": invoices}
@@ -152,9 +164,9 @@ def _bag(cols, rows):
         tuple((r[i] + 0.0) if isinstance(r[i], float) else r[i] for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("seed", [7, 11, 23])
-def test_random_tables_match_oracle(spark, seed):
-    rows = make_tables(seed)
+@pytest.mark.parametrize("seed,hot", [(7, False), (11, False), (23, False), (5, True)])
+def test_random_tables_match_oracle(spark, seed, hot):
+    rows = make_tables(seed, hot)
     tables = billing(spark, **rows)
     fake_dir = f"/nonexistent/random-{seed}-{uuid.uuid4().hex}"
     se._MODEL_SETS[(spark.sparkContext.applicationId, os.path.abspath(fake_dir))] = ModelSet(
