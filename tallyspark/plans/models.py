@@ -33,16 +33,29 @@ SHARED_MODELS = ("stg_customer", "stg_subscription_item", "stg_subscription", "r
 class ModelSet:
     """All models over one set of billing tables and one as-of date."""
 
+    # every model, in graph order (dependencies first)
+    NAMES = ("stg_customer", "stg_price", "stg_tier", "stg_subscription_item",
+             "stg_subscription", "stg_invoice", "revenue", "monthly_arr", "monthly_customers",
+             "monthly_trialers", "quarterly_arr", "quarterly_customers", "quarterly_trialers",
+             "exported_quarterly_metrics", "exported_latest_metrics")
+
     def __init__(self, tables: BillingTables, as_of: dt.date,
-                 materialize: Iterable[str] = (), folder: str | None = None):
+                 materialize: Iterable[str] = (), folder: str | None = None,
+                 force: bool = True, cache: bool = False):
+        """``materialize``: models written to ``folder`` (default: a new folder under
+        the session's checkpoint folder) and read back; an existing table is
+        replaced when ``force``, else kept. ``cache``: persist every built model."""
         self.tables = tables
         self.as_of = as_of
         self.spark: SparkSession = tables.invoice.sparkSession
         self._materialize = set(materialize)
         self._folder = folder
+        self._force = force
+        self._cache = cache
         self._built: dict[str, DataFrame] = {}
         self._prices: DataFrame | None = None
         self._defs: dict[str, Callable[[], DataFrame]] = self._definitions()
+        assert tuple(self._defs) == self.NAMES
 
     # ---------------------------------------------------------------- graph
     def _definitions(self) -> dict[str, Callable[[], DataFrame]]:
@@ -91,7 +104,9 @@ class ModelSet:
                 raise KeyError(f"unknown model {name!r}; known: {', '.join(self._defs)}")
             df = self._defs[name]()
             if name in self._materialize:
-                df = sinks.write_model_table(df, self.table_path(name), force=True)
+                df = sinks.write_model_table(df, self.table_path(name), force=self._force)
+            if self._cache:
+                df = sinks.cache_model(df)
             self._built[name] = df
         return self._built[name]
 

@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # The "today" used by tests, the oracle and the bench (FIXTURES.md).
@@ -68,11 +69,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "tallyspark") -> SparkSession:
     """Build (or reuse) a session configured for the models.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` when no master is given
-    by the environment; on a cluster pass nothing and let spark-submit decide.
+    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when none is
+    configured; under spark-submit pass nothing and the submitted master is used.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER"):
+    if master is None and not SparkConf().contains("spark.master"):
+        # plain `python` run: no master from spark-submit or spark-defaults
         master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     if master:
         builder = builder.master(master)
