@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import sys
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -38,15 +39,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 # One model set per (application, data folder): models read by several others are
 # written once to the shared checkpoint folder and read back by every later key.
 _MODEL_SETS: dict[tuple[str, str], ModelSet] = {}
+_LOCK = threading.Lock()
 
 
 def _models(spark: SparkSession, sf_dir: str) -> ModelSet:
     ensure_session_conf(spark)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _MODEL_SETS:
-        _MODEL_SETS[key] = ModelSet(derive_billing_tables(spark, sf_dir), AS_OF,
-                                    materialize=SHARED_MODELS)
-    return _MODEL_SETS[key]
+    with _LOCK:
+        if key not in _MODEL_SETS:
+            _MODEL_SETS[key] = ModelSet(derive_billing_tables(spark, sf_dir), AS_OF,
+                                        materialize=SHARED_MODELS)
+        return _MODEL_SETS[key]
 
 
 def _model(name: str) -> Query:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import threading
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -54,6 +55,9 @@ class ModelSet:
         self._cache = cache
         self._built: dict[str, DataFrame] = {}
         self._prices: DataFrame | None = None
+        # one builder at a time: a model is materialised once even when several
+        # threads ask for it (re-entrant, as building a model builds its inputs)
+        self._lock = threading.RLock()
         self._defs: dict[str, Callable[[], DataFrame]] = self._definitions()
         assert tuple(self._defs) == self.NAMES
 
@@ -88,10 +92,11 @@ class ModelSet:
     @property
     def prices(self) -> DataFrame:
         """Live prices with product config applied and exact cents (built once)."""
-        if self._prices is None:
-            t = self.tables
-            self._prices = staging.priced(t.price, t.product, t.product_config)
-        return self._prices
+        with self._lock:
+            if self._prices is None:
+                t = self.tables
+                self._prices = staging.priced(t.price, t.product, t.product_config)
+            return self._prices
 
     @property
     def names(self) -> list[str]:
@@ -99,6 +104,10 @@ class ModelSet:
 
     def model(self, name: str) -> DataFrame:
         """The named model's DataFrame (built once; materialised if requested)."""
+        with self._lock:
+            return self._model(name)
+
+    def _model(self, name: str) -> DataFrame:
         if name not in self._built:
             if name not in self._defs:
                 raise KeyError(f"unknown model {name!r}; known: {', '.join(self._defs)}")
