@@ -38,7 +38,8 @@ def _maybe(r, v, p=0.15):
 
 def make_tables(seed: int, hot: bool = False) -> dict[str, list[dict]]:
     """Random billing tables; with ``hot``, a third of all invoices belong to one
-    subscription of one customer (a hot key for every revenue shuffle)."""
+    subscription of one customer (a hot key for every revenue shuffle), and a few
+    subscriptions have two active versions."""
     r = random.Random(seed)
     n_cust, n_price, n_sub = 60, 40, 150
     cust = [{"id": f"cus_{i}", "name": _maybe(r, f"N{i}", 0.3),
@@ -135,6 +136,10 @@ def make_tables(seed: int, hot: bool = False) -> dict[str, list[dict]]:
         invoice(n, r.randrange(n_sub + 2), _day(r) + dt.timedelta(days=r.randrange(0, 500)))
         n += 1
     if hot:
+        # two live, active versions of a few subscriptions (they fan out in joins)
+        for sub in [x for x in subs if x["_fivetran_active"]][1:6]:
+            subs.append({**sub, "customer_id": f"cus_{r.randrange(n_cust)}",
+                         "cancel_at_period_end": not sub["cancel_at_period_end"]})
         subs[0].update({"customer_id": "cus_0", "livemode": True, "_fivetran_active": True})
         items.append({"id": "si_hot", "created": dt.datetime(1990, 1, 1), "quantity": 1,
                       "subscription_id": "sub_0", "plan_id": "price_hot"})
