@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Upper bound (rows) for a dimension table to be broadcast. A price/product/tier
@@ -32,3 +32,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged
     (Spark then plans a shuffle join, and AQE may still convert it at runtime)."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+# Prefix no real id carries (ids are printable text); NULL keys get it plus a bucket.
+_NULL_KEY_PREFIX = "\u0000null:"
+NULL_KEY_BUCKETS = 1024
+
+
+def spread_null_key(key: Column, row_id: Column, buckets: int = NULL_KEY_BUCKETS) -> Column:
+    """Join key for the preserved side of a left outer join on a nullable foreign key.
+
+    A NULL key never matches, but left as NULL every such row hashes to the same
+    shuffle partition: one task would receive all of them (say, a third of all
+    invoices without a customer). Each NULL is replaced by one of ``buckets``
+    values derived from the row's own id, none of which a real key can equal, so
+    those rows spread over the shuffle and still match nothing.
+    """
+    bucket = F.pmod(F.xxhash64(row_id), F.lit(buckets)).cast("string")
+    return F.coalesce(key.cast("string"), F.concat(F.lit(_NULL_KEY_PREFIX), bucket))

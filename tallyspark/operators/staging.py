@@ -4,7 +4,9 @@ Join strategy. ``product``, product config, ``price`` and ``tier`` are dimension
 tables: they are broadcast only after :func:`fits_broadcast` proved their size;
 otherwise Spark plans a shuffle join. ``customer``, ``subscription_history``,
 ``subscription_item`` and ``invoice`` grow with the business and are joined by
-shuffle (sort-merge, with AQE skew splitting).
+shuffle (sort-merge, with AQE skew splitting for hot keys). NULL foreign keys on
+the preserved side of a left join are spread over the shuffle
+(:func:`spread_null_key`) instead of all landing in one task.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.joins import broadcast_if_small, fits_broadcast
+from tallyspark.functions.joins import broadcast_if_small, fits_broadcast, spread_null_key
 from tallyspark.functions.money import cents_to_units, to_cents
 from tallyspark.functions.pricing import annual_value, billing_cycle, tier_amount
 
@@ -27,7 +29,8 @@ def _live(df: DataFrame) -> DataFrame:
 def stg_customer(customer: DataFrame, card: DataFrame) -> DataFrame:
     """Live customers with display name, location fallbacks and balance in units."""
     cards = card.select(F.col("id").alias("_card_id"), F.col("country").alias("_card_country"))
-    src = _live(customer).join(cards, F.col("default_card_id") == F.col("_card_id"), "left")
+    card_key = spread_null_key(F.col("default_card_id"), F.col("id"))
+    src = _live(customer).join(cards, card_key == F.col("_card_id"), "left")
     return src.select(
         "id",
         F.coalesce("name", "description", F.lower("email")).alias("name"),
@@ -343,8 +346,9 @@ def stg_subscription(subscription_history: DataFrame, customers: DataFrame,
     plans = main_plan(items)
     names = customers.select(F.col("id").alias("_cust_id"), F.col("name").alias("customer_name"))
     live = subscription_history.where(F.col("livemode") & F.col("_fivetran_active"))
+    cust_key = spread_null_key(F.col("customer_id"), live.id)
     src = (live.join(plans, live.id == plans.subscription_id, "left")
-           .join(names, F.col("customer_id") == F.col("_cust_id"), "left"))
+           .join(names, cust_key == F.col("_cust_id"), "left"))
     return src.select(
         live.id,
         "customer_name",
@@ -384,9 +388,11 @@ def stg_invoice(invoice: DataFrame, customers: DataFrame, subscriptions: DataFra
     """Live invoices with customer and product names, money in units."""
     names = customers.select(F.col("id").alias("_cust_id"), F.col("name").alias("customer_name"))
     prods = subscriptions.select(F.col("id").alias("_sub_id"), "product_name")
-    src = (live_invoices(invoice)
-           .join(names, F.col("customer_id") == F.col("_cust_id"), "left")
-           .join(prods, F.col("subscription_id") == F.col("_sub_id"), "left"))
+    inv = live_invoices(invoice)
+    src = (inv
+           .join(names, spread_null_key(inv.customer_id, inv.id) == F.col("_cust_id"), "left")
+           .join(prods, spread_null_key(inv.subscription_id, inv.id) == F.col("_sub_id"),
+                 "left"))
     return src.select(
         "id", "customer_name", "product_name",
         F.col("number").alias("reference_number"),

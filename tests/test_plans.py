@@ -89,3 +89,21 @@ def test_relational_fallback_beyond_the_bound(spark, stored):
         assert collect_sorted(slow, "id") == collect_sorted(fast, "id")
     finally:
         spark.conf.unset(CONF_KEY)
+
+
+def test_null_foreign_keys_spread_but_never_match(spark):
+    from pyspark.sql import functions as F
+
+    from tallyspark.functions.joins import spread_null_key
+    rows = [(f"in_{i}", None if i % 3 else f"cus_{i % 50}") for i in range(3000)]
+    inv = spark.createDataFrame(rows, "id string, customer_id string")
+    cust = spark.createDataFrame([(f"cus_{i}", f"N{i}") for i in range(50)], "cid string, name string")
+    key = spread_null_key(F.col("customer_id"), F.col("id"))
+    spread = inv.where(F.col("customer_id").isNull()).select(key.alias("k"))
+    assert spread.distinct().count() > 500          # a third of rows no longer share one key
+    # real keys pass through unchanged
+    assert inv.where(F.col("customer_id").isNotNull() & (key != F.col("customer_id"))) \
+              .count() == 0
+    plain = inv.join(cust, inv.customer_id == cust.cid, "left").select("id", "name")
+    spread_join = inv.join(cust, key == cust.cid, "left").select("id", "name")
+    assert sorted(plain.collect()) == sorted(spread_join.collect())
