@@ -26,21 +26,14 @@ def cache_model(df: DataFrame, no_cache: bool = False) -> DataFrame:
     """Keep a model in executor memory/disk for reuse, or drop it (``no_cache``).
 
     Persisted blocks are recomputed from lineage if an executor is lost; for a
-    hard lineage cut use :func:`write_model_table`.
+    hard lineage cut use :func:`write_model_table`. Re-reading a replaced table
+    gives a fresh plan, so persisting that read is the refresh.
     """
     if no_cache:
         return df.unpersist()
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def refresh_model(df: DataFrame) -> DataFrame:
-    """Re-materialise a persisted model after its inputs changed."""
-    df.unpersist()
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
-    return df
-
-
 def export_csv(df: DataFrame, path: str) -> DataFrame:
     """Publish an export as one CSV file with a header; returns it read back.
 
