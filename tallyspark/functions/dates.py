@@ -63,3 +63,24 @@ def add_months(d: dt.date, n: int) -> dt.date:
 
 def as_of_quarter(as_of: dt.date) -> dt.date:
     return dt.date(as_of.year, 3 * ((as_of.month - 1) // 3) + 1, 1)
+
+
+def stepped_month_starts(start: ColumnOrName, stop: ColumnOrName) -> Column:
+    """Months visited by a series that starts on ``start`` (a date) and adds one
+    month at a time to its *running* value while it is not past ``stop``.
+
+    Adding to the running value clamps the day at every short month (Jan 31 ->
+    Feb 29 -> Mar 29), so every month from ``start``'s to ``stop``'s is visited
+    except possibly the last one: it is visited only when the running day, the
+    smallest month length met on the way (and ``start``'s own day), is not past
+    ``stop``'s day. Returned as an array of month starts; empty when ``stop`` is
+    before ``start``; NULL when either is NULL.
+    """
+    b, e = _c(start), _c(stop)
+    first_m, stop_m = month_start(b), month_start(e)
+    months = month_series(first_m, stop_m)
+    later = month_series(F.add_months(first_m, 1), stop_m)
+    run_day = F.aggregate(later, F.dayofmonth(b),
+                          lambda acc, m: F.least(acc, F.dayofmonth(F.last_day(m))))
+    drop_last = (F.size(months) > 0) & (run_day > F.dayofmonth(e))
+    return F.when(drop_last, F.slice(months, 1, F.size(months) - 1)).otherwise(months)

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.dates import as_of_month, lit_date, month_series, month_start
+from tallyspark.functions.dates import (as_of_month, lit_date, month_start,
+                                        stepped_month_starts)
 
 
 def trial_facts(subscriptions: DataFrame) -> DataFrame:
@@ -44,17 +45,8 @@ def trial_calendar(subscriptions: DataFrame) -> DataFrame:
     day. Empty when nobody ever cancelled. One row in, one row per month out.
     """
     b = trial_date_bounds(subscriptions)
-    start = F.col("min_created_at")
-    stop = F.add_months("max_cancel_at", 1)
-    first_m, stop_m = month_start(start), month_start(stop)
-    months = month_series(first_m, stop_m)
-    # day of the running value once it reaches the stop month
-    later = month_series(F.add_months(first_m, 1), stop_m)
-    run_day = F.aggregate(later, F.dayofmonth(start),
-                          lambda acc, m: F.least(acc, F.dayofmonth(F.last_day(m))))
-    keep = F.when(run_day > F.dayofmonth(stop), F.slice(months, 1, F.size(months) - 1)) \
-            .otherwise(months)
-    return b.select(F.explode(F.when(F.size(months) > 0, keep).otherwise(months)).alias("dt"))
+    months = stepped_month_starts(F.col("min_created_at"), F.add_months("max_cancel_at", 1))
+    return b.select(F.explode(months).alias("dt"))
 
 
 def trial_month_counts(subscriptions: DataFrame) -> DataFrame:
