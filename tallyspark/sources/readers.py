@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,9 @@ def read_billing_tables(spark: SparkSession, path: str, fmt: str = "parquet",
     if product_config is None:
         try:
             product_config = read_table(spark, path, "product_config", fmt)
-        except Exception:  # no stored config: every product is main, own name
+        except AnalysisException as e:  # no stored config: every product is main, own name
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
             product_config = seed_product_config(tables["product"])
     tables["product_config"] = conform(product_config, "product_config")
     return BillingTables(**tables)
