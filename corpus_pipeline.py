@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe_index, decision_list, simhash_vptree
+from tallyspark.llm import blob_ledger, bpe_index, decision_list, mixing, simhash_vptree
 from tallyspark.llm.common import read_table, stored
 from tallyspark.llm.queries import tokenizer_path
 
@@ -23,13 +23,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_vptree.keep_one_per_component(docs)
 
 
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is masked in its text; all documents stay."""
+    return blob_ledger.redact_documents(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its domain's target asks: not at all, once or more."""
+    return mixing.mixed_documents(docs, read_table(spark, sf_dir, "labels"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the token ids of their whole texts."""
     return bpe_index.encode_documents(docs, tokenizer_path())
 
 
 STAGES = [("quality_rules", quality_rules), ("simhash_near_dedup", near_dedup),
-          ("bpe_encoding", encode)]
+          ("secret_scans", mask_secrets), ("mixing_sources", mix_sources), ("bpe_encoding", encode)]
 
 #: Learned rules, graph components and tokens cannot be written as SQL; the stages are
 #: tested against brute force instead.

@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallyspark.llm import (bpe_index, decision_list, simhash_vptree)
-from tallyspark.llm.common import read_table
+from tallyspark.llm import (blob_ledger, bpe_index, decision_list, mixing, order_minhash,
+                            quality_em, sentence_spans, simhash_vptree, toxicity_knn,
+                            url_cascade)
+from tallyspark.llm.common import read_table, scratch_path
 
 
 def tokenizer_path() -> str:
@@ -21,22 +22,65 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _documents(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents")
+
+
+def _labels(spark, sf_dir):
+    return read_table(spark, sf_dir, "labels")
+
+
+def op1_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_em.classify(_documents(spark, sf_dir))
+
+
+def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op3_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_cascade.judge_pages(read_table(spark, sf_dir, "pages"))
+
+
+def op4_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_knn.score_documents(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
 def op5_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_vptree.simhash_components(read_table(spark, sf_dir, "documents"))
+    return simhash_vptree.simhash_components(_documents(spark, sf_dir))
 
 
 def op6_bpe_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_index.encode_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return bpe_index.encode_digests(_documents(spark, sf_dir), tokenizer_path())
+
+
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.dedup_documents(_documents(spark, sf_dir))
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edit_neighbours(_documents(spark, sf_dir))
 
 
 def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decision_list.judge(read_table(spark, sf_dir, "documents"),
-                               read_table(spark, sf_dir, "labels"))
+    return decision_list.judge(_documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run over a new ledger in the shared folder."""
+    ledger = blob_ledger.Ledger(spark, scratch_path(spark, "ledger"))
+    return blob_ledger.scan_documents(_documents(spark, sf_dir), ledger)
+
+
+QUERIES = (op1_weak_label_quality, op2_soft_mixing, op3_url_cascade, op4_toxicity_knn,
+           op5_simhash_vptree, op6_bpe_pair_index, op7_sentence_spans, op8_order_minhash,
+           op9_decision_list, op10_blob_ledger)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_simhash_vptree, op6_bpe_pair_index, op9_decision_list)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Only the URL filter can be said in SQL; the others are tested against brute force."""
+    return {"op3_url_cascade": url_cascade.ORACLE_SQL}

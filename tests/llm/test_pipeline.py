@@ -1,0 +1,49 @@
+from __future__ import annotations
+
+import corpus_pipeline as cp
+
+import __spark_entry__ as se
+from tallyspark.llm import blob_ledger, decision_list, mixing, simhash_vptree
+from tallyspark.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_in_order(spark, docs, labels):
+    assert [n for n, _ in cp.STAGES] == ["quality_rules", "simhash_near_dedup", "secret_scans",
+                                         "mixing_sources", "bpe_encoding"]
+    kept, rows = docs, {}
+    for name, stage in cp.STAGES:
+        before, kept = kept, stage(spark, kept, SF).cache()
+        rows[name] = kept.collect()
+        if name == "bpe_encoding":
+            assert kept.columns == [*docs.columns, "token_ids"]
+            continue
+        assert kept.columns == docs.columns
+        if name == "quality_rules":
+            want = [r.doc_id for r in decision_list.judge(before, labels).where("kept").collect()]
+        elif name == "simhash_near_dedup":
+            want = {r.component_id for r in simhash_vptree.simhash_components(before).collect()}
+        elif name == "secret_scans":
+            want = [r.doc_id for r in before.collect()]
+            for r in rows[name]:
+                assert not blob_ledger.scan(r.text, blob_ledger.BASE_RULES[1])
+        else:
+            want = [r.doc_id for r in mixing.mix(before, labels).collect()
+                    for _ in range(r.copies)]
+        assert sorted(r.doc_id for r in rows[name]) == sorted(want)
+    whole = cp.run(spark, SF).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, rows["bpe_encoding"]))
+
+
+def test_empty_documents(spark, no_docs):
+    kept = no_docs
+    for _, stage in cp.STAGES:
+        kept = stage(spark, kept, SF)
+    assert kept.collect() == []
+
+
+def test_registered():
+    q = se.queries()
+    assert {f.__name__ for f in QUERIES} | {"pipeline"} <= set(q)
+    assert sorted(int(n[2:].split("_")[0]) for n in q if n.startswith("op")) == list(range(1, 11))
