@@ -18,7 +18,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 HASH_SEED = 42
 SAMPLE = 16_384          # fingerprints that shape one round of splits (bounded)
-LEAF_TARGET = 1_024      # aimed fingerprints of a shard
+LEAF_TARGET = 16_384     # aimed fingerprints of a shard; each is searched by a tree of its own
 MIN_SAMPLE = 16          # sampled fingerprints below which a node is not split
 MAX_SHARD = 200_000      # more own fingerprints than this: split again
 MAX_ROUNDS = 4
