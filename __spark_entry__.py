@@ -28,7 +28,8 @@ from tallyspark.operators import (exports, monthly, quarterly, revenue,  # noqa:
                                   staging, trials)
 from tallyspark.plans import SHARED_MODELS, ModelSet, sinks  # noqa: E402
 from tallyspark.session import AS_OF_TEST, checkpoint_dir, ensure_session_conf  # noqa: E402
-from tallyspark.sources import derive_billing_tables  # noqa: E402
+from tallyspark.sources import derive_billing_tables, read_billing_tables  # noqa: E402
+from tallyspark.sources.readers import input_state  # noqa: E402
 
 # The training-data operators are an optional part: without their folder, or without
 # corpus_pipeline.py, everything else works.
@@ -46,20 +47,36 @@ AS_OF = AS_OF_TEST
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# One model set per (application, data folder): models read by several others are
-# written once to the shared checkpoint folder and read back by every later key.
-_MODEL_SETS: dict[tuple[str, str], ModelSet] = {}
+# One model set per (application, data folder): the derived billing tables are stored once
+# as Parquet and read back by the library's reader; models read by several others are
+# written once to the shared checkpoint folder. Both are made anew when the files of the
+# test tables change.
+# A set entered with the state None stands for itself (tests enter tables of their own).
+_MODEL_SETS: dict[tuple[str, str], tuple[str | None, ModelSet]] = {}
 _LOCK = threading.Lock()
+_INPUTS = ("region", "nation", "customer", "part", "orders")
+
+
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    return "".join(input_state(spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in _INPUTS)
 
 
 def _models(spark: SparkSession, sf_dir: str) -> ModelSet:
     ensure_session_conf(spark)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
+        if key in _MODEL_SETS and _MODEL_SETS[key][0] is None:
+            return _MODEL_SETS[key][1]
+        state = _state(spark, sf_dir)
+        if key in _MODEL_SETS and _MODEL_SETS[key][0] != state:
+            _MODEL_SETS.pop(key)[1].close()
         if key not in _MODEL_SETS:
-            _MODEL_SETS[key] = ModelSet(derive_billing_tables(spark, sf_dir), AS_OF,
-                                        materialize=SHARED_MODELS)
-        return _MODEL_SETS[key]
+            folder = _scratch(spark, "billing")
+            for name, df in derive_billing_tables(spark, sf_dir).as_dict().items():
+                df.write.parquet(f"{folder}/{name}")
+            _MODEL_SETS[key] = (state, ModelSet(read_billing_tables(spark, folder), AS_OF,
+                                                materialize=SHARED_MODELS))
+        return _MODEL_SETS[key][1]
 
 
 def _model(name: str) -> Query:
@@ -117,21 +134,22 @@ def _sink_model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sink_model_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.cache_model(_models(spark, sf_dir).model("revenue"))
+    """Persisted, then released: the result is read from the stored model."""
+    held = sinks.cache_model(_models(spark, sf_dir).model("revenue"))
+    return sinks.cache_model(held, no_cache=True)
 
 
 def _sink_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     ms = _models(spark, sf_dir)
     return sinks.export_csv(ms.model("exported_quarterly_metrics"),
-                            _scratch(spark, "exported_quarterly_metrics"))
+                            _scratch(spark, "exported_quarterly_metrics"), single_file=True)
 
 
 def _read_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     # revenue is materialised into the shared folder; read it as a table
     ms = _models(spark, sf_dir)
-    path = ms.table_path("revenue")
     ms.model("revenue")
-    return spark.read.parquet(path)
+    return sinks.read_model_table(spark, ms.table_path("revenue"))
 
 
 def _build_until(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,15 +226,15 @@ def model_queries() -> dict[str, Query]:
     q["consolidated_revenue"] = _rev(revenue.consolidated_revenue)
     q["revenue"] = _model("revenue")
     # 2.5 monthly
-    q["customer_span"] = _on_model("revenue", monthly.customer_span)
-    q["customer_month_spine"] = _on_model("revenue", monthly.customer_month_spine)
-    q["customer_month_totals"] = _on_model("revenue", monthly.customer_month_totals)
-    q["customer_month_lag_lead"] = _on_model("revenue", monthly.customer_month_lag_lead)
-    q["arr_movements"] = _on_model("revenue", monthly.arr_movements, True)
-    q["arr_monthly_rollup"] = _on_model("revenue", monthly.arr_monthly_rollup, True)
+    q["customer_span"] = _on_model("customer_months", monthly.customer_span)
+    q["customer_month_spine"] = _on_model("customer_months", monthly.customer_month_spine)
+    q["customer_month_totals"] = _on_model("customer_months", monthly.customer_month_totals)
+    q["customer_month_lag_lead"] = _on_model("customer_months", monthly.customer_month_lag_lead)
+    q["arr_movements"] = _on_model("customer_months", monthly.arr_movements, True)
+    q["arr_monthly_rollup"] = _on_model("customer_months", monthly.arr_monthly_rollup, True)
     q["monthly_arr"] = _model("monthly_arr")
-    q["customer_status"] = _on_model("revenue", monthly.customer_status, True)
-    q["customer_monthly_rollup"] = _on_model("revenue", monthly.customer_monthly_rollup, True)
+    q["customer_status"] = _on_model("customer_months", monthly.customer_status, True)
+    q["customer_monthly_rollup"] = _on_model("customer_months", monthly.customer_monthly_rollup, True)
     q["monthly_customers"] = _model("monthly_customers")
     q["trial_facts"] = _on_model("stg_subscription", trials.trial_facts)
     q["trial_date_bounds"] = _on_model("stg_subscription", trials.trial_date_bounds)

@@ -2,10 +2,10 @@
 
 1. prepare: derive the billing tables from the test tables and store them as
    Parquet (the form real billing inputs arrive in); timed separately.
-2. build: the model graph over those tables, as a user runs it: the shared
-   models (stg_subscription, revenue, quarterly_*) are written once to the
-   checkpoint folder and read back, every other model is executed to a ``noop``
-   sink (full computation, no collect).
+2. build: the model graph over those tables, as a user runs it: the ten shared
+   models (``plans.SHARED_MODELS``) and the customer-month table are written once
+   to the checkpoint folder and read back, every other model is executed to a
+   ``noop`` sink (full computation, no collect). The folders are deleted at the end.
 
 Prints one JSON line: {"metric", "value" (end-to-end build seconds, first build in
 a fresh JVM), "unit", "queries": {model: seconds}, "warm_value"/"warm_queries" (the
@@ -25,6 +25,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from tallyspark.plans import SHARED_MODELS, ModelSet  # noqa: E402
+from tallyspark.plans.sinks import delete_folder  # noqa: E402
 from tallyspark.session import AS_OF_TEST, checkpoint_dir, get_session  # noqa: E402
 from tallyspark.sources import derive_billing_tables, read_billing_tables  # noqa: E402
 
@@ -61,6 +62,8 @@ def main() -> None:
     # second build of the same graph in the same JVM: steady-state cost
     warm_total, warm_times = build(f"{work}/models-2")
 
+    delete_folder(spark, work)
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "model_graph_build_sec",

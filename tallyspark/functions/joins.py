@@ -1,52 +1,24 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Join helpers."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Upper bound (rows) for a dimension table to be broadcast. A price/product/tier
-# row is ~100-200 bytes, so 200k rows stay well under typical executor budgets.
-DEFAULT_BROADCAST_MAX_ROWS = 200_000
-CONF_KEY = "tallyspark.broadcast.maxRows"
 
-
-def broadcast_max_rows(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(conf) if conf else DEFAULT_BROADCAST_MAX_ROWS
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A plain ``count()``: every partition counts its own rows and only one number
-    per partition is shuffled, so the check is exact and cheap even when the
-    table turns out to be large (a ``limit`` would funnel rows into one task).
-    Only used on dimension tables (prices, products, tiers, config).
-    """
-    limit = broadcast_max_rows(df) if max_rows is None else max_rows
-    return df.count() <= limit
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged
-    (Spark then plans a shuffle join, and AQE may still convert it at runtime)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-# Prefix no real id carries (ids are printable text); NULL keys get it plus a bucket.
-_NULL_KEY_PREFIX = "\u0000null:"
-NULL_KEY_BUCKETS = 1024
-
-
-def spread_null_key(key: Column, row_id: Column, buckets: int = NULL_KEY_BUCKETS) -> Column:
-    """Join key for the preserved side of a left outer join on a nullable foreign key.
+def spread_null_key(key: Column, *row: Column) -> Column:
+    """Shuffle key for the preserved side of a left outer join on a nullable foreign key.
 
     A NULL key never matches, but left as NULL every such row hashes to the same
     shuffle partition: one task would receive all of them (say, a third of all
-    invoices without a customer). Each NULL is replaced by one of ``buckets``
-    values derived from the row's own id, none of which a real key can equal, so
-    those rows spread over the shuffle and still match nothing.
+    invoices without a customer). Each NULL becomes the full hash of the row's own
+    columns ``row``, so those rows spread over the whole shuffle. Join with
+    :func:`matches`, which also asks that the key itself is known: a real key that
+    happens to read like a hash therefore matches nothing.
     """
-    bucket = F.pmod(F.xxhash64(row_id), F.lit(buckets)).cast("string")
-    return F.coalesce(key.cast("string"), F.concat(F.lit(_NULL_KEY_PREFIX), bucket))
+    return F.coalesce(key.cast("string"), F.xxhash64(*row).cast("string"))
+
+
+def matches(key: Column, other: Column, *row: Column) -> Column:
+    """Left-join condition ``key = other`` with the NULL keys spread over the shuffle."""
+    return (spread_null_key(key, *row) == other) & key.isNotNull()

@@ -26,7 +26,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.dates import as_of_month, lit_date, month_series, month_start
+from tallyspark.functions.dates import as_of_month, lit_date, month_start
 from tallyspark.functions.money import to_twelfths, twelfths_to_units
 
 CUST = "stripe_customer_id"
@@ -34,25 +34,10 @@ CUST = "stripe_customer_id"
 
 # ------------------------------------------------------------------ spine
 
-def customer_span(revenue: DataFrame) -> DataFrame:
-    """First and last revenue month per customer (the NULL customer is a group too)."""
-    m = month_start("recognized_at")
-    return revenue.groupBy(CUST).agg(F.min(m).alias("min_month_per_customer"),
-                                     F.max(m).alias("max_month_per_customer"))
-
-
-def customer_month_spine(revenue: DataFrame) -> DataFrame:
-    """Every month from a customer's first revenue month to its last plus one."""
-    span = customer_span(revenue)
-    months = month_series("min_month_per_customer",
-                          F.add_months("max_month_per_customer", 1))
-    return span.select(CUST, "min_month_per_customer", "max_month_per_customer",
-                       F.explode(months).alias("month"))
-
-
 def customer_months(revenue: DataFrame) -> DataFrame:
     """One row per spine month with ``total``, ``previous`` and ``next`` totals
-    (twelfths of a cent; NULL = no revenue that month).
+    (twelfths of a cent; NULL = no revenue that month), and the customer's first and
+    last revenue month. The models below take this table, which a model set builds once.
 
     Equal to the reference's spine ⟗ revenue grouped by (month, customer) with
     ``lag``/``lead`` per customer ordered by month (NULLs last), including its
@@ -71,7 +56,9 @@ def customer_months(revenue: DataFrame) -> DataFrame:
     cm = cm.select(CUST, "month", "_t",
                    F.lag("month").over(w).alias("_pm"), F.lag("_t").over(w).alias("_pt"),
                    F.lead("month").over(w).alias("_nm"), F.lead("_t").over(w).alias("_nt"),
-                   F.sum("_raw").over(whole).alias("_all"))
+                   F.sum("_raw").over(whole).alias("_all"),
+                   F.min("month").over(whole).alias("first_month"),
+                   F.max("month").over(whole).alias("last_month"))
 
     # each active month row stands for itself and the empty months up to the next
     # active month; the last one also for the month after it (the churn month), and
@@ -90,22 +77,34 @@ def customer_months(revenue: DataFrame) -> DataFrame:
            .when(orphan_tail & (j == 1), F.col("_all")))
     return (cm.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("_j"))
             .select(month.alias("month"), CUST, total.alias("total"),
-                    previous.alias("previous"), nxt.alias("next")))
+                    previous.alias("previous"), nxt.alias("next"),
+                    "first_month", "last_month"))
+
 
+def customer_span(months: DataFrame) -> DataFrame:
+    """First and last revenue month per customer (the NULL customer is a group too)."""
+    return months.select(CUST, "first_month", "last_month").distinct()
+
+
+def customer_month_spine(months: DataFrame) -> DataFrame:
+    """Every month from a customer's first revenue month to its last plus one."""
+    return months.where(F.col("month").isNotNull()).select(CUST, "first_month", "last_month",
+                                                           "month")
 
-def customer_month_totals(revenue: DataFrame) -> DataFrame:
+
+def customer_month_totals(months: DataFrame) -> DataFrame:
     """Revenue per customer and spine month (NULL = inactive month), in units."""
-    return customer_months(revenue).select(
-        "month", CUST, twelfths_to_units("total").alias("total_per_customer"))
+    return months.select(
+        "month", CUST, twelfths_to_units("total").alias("total_in_month"))
 
 
-def customer_month_lag_lead(revenue: DataFrame) -> DataFrame:
+def customer_month_lag_lead(months: DataFrame) -> DataFrame:
     """``customer_month_totals`` with the previous and next month's totals."""
-    return customer_months(revenue).select(
+    return months.select(
         "month", CUST,
-        twelfths_to_units("total").alias("total_per_customer"),
-        twelfths_to_units("previous").alias("total_per_customer_previous_month"),
-        twelfths_to_units("next").alias("total_per_customer_next_month"))
+        twelfths_to_units("total").alias("total_in_month"),
+        twelfths_to_units("previous").alias("total_previous_month"),
+        twelfths_to_units("next").alias("total_next_month"))
 
 
 # ------------------------------------------------------------------ ARR
@@ -132,9 +131,9 @@ _MOVES = ["beginning_rev", "ending_rev", "total_next_month", "new_rev", "expansi
           "contraction_rev", "churn_rev"]
 
 
-def arr_movements(revenue: DataFrame, as_of: dt.date) -> DataFrame:
+def arr_movements(months: DataFrame, as_of: dt.date) -> DataFrame:
     """Per customer-month movement amounts (units of monthly revenue)."""
-    mv = _movements(customer_months(revenue), as_of)
+    mv = _movements(months, as_of)
     return mv.select("month", CUST, *[twelfths_to_units(c).alias(c) for c in _MOVES])
 
 
@@ -151,8 +150,8 @@ def _rollup(movements: DataFrame) -> DataFrame:
                       F.lag("ending_rev").over(w).alias("beginning_rev"), "ending_rev")
 
 
-def arr_monthly_rollup(revenue: DataFrame, as_of: dt.date) -> DataFrame:
-    r = _rollup(_movements(customer_months(revenue), as_of))
+def arr_monthly_rollup(months: DataFrame, as_of: dt.date) -> DataFrame:
+    r = _rollup(_movements(months, as_of))
     return r.select("month", *[twelfths_to_units(c).alias(c) for c in r.columns[1:]])
 
 
@@ -160,12 +159,12 @@ MONTHLY_ARR_COLUMNS = ["month", "beginning_arr", "new_arr", "expansion_arr", "co
                        "churn_arr", "ending_arr"]
 
 
-def monthly_arr(revenue: DataFrame, as_of: dt.date) -> DataFrame:
+def monthly_arr(months: DataFrame, as_of: dt.date) -> DataFrame:
     """Monthly ARR waterfall (ARR = 12 × monthly revenue) up to the as-of month.
 
     The lag for ``beginning`` is taken before the month filter, as in the reference.
     """
-    r = _rollup(_movements(customer_months(revenue), as_of))
+    r = _rollup(_movements(months, as_of))
     arr = lambda c: (F.col(c).cast("double") / 100).alias(c.replace("_rev", "_arr"))
     return (r.where(F.col("month") <= lit_date(as_of_month(as_of)))
             .select("month", arr("beginning_rev"), arr("new_rev"), arr("expansion_rev"),
@@ -186,9 +185,9 @@ def _status(months: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def customer_status(revenue: DataFrame, as_of: dt.date) -> DataFrame:
+def customer_status(months: DataFrame, as_of: dt.date) -> DataFrame:
     """New / churned / paying / retained flags per customer-month."""
-    return _status(customer_months(revenue), as_of)
+    return _status(months, as_of)
 
 
 def _count(flag: str) -> Column:
@@ -206,15 +205,15 @@ def _customer_rollup(status: DataFrame) -> DataFrame:
     )
 
 
-def customer_monthly_rollup(revenue: DataFrame, as_of: dt.date) -> DataFrame:
+def customer_monthly_rollup(months: DataFrame, as_of: dt.date) -> DataFrame:
     """Distinct customers per flag and month; churn negated."""
-    return _customer_rollup(_status(customer_months(revenue), as_of))
+    return _customer_rollup(_status(months, as_of))
 
 
-def monthly_customers(revenue: DataFrame, as_of: dt.date) -> DataFrame:
+def monthly_customers(months: DataFrame, as_of: dt.date) -> DataFrame:
     """Monthly customer counts up to the as-of month; the month filter runs *before*
     the lag, and the first month begins at 0."""
-    r = _customer_rollup(_status(customer_months(revenue), as_of))
+    r = _customer_rollup(_status(months, as_of))
     w = Window.orderBy(F.col("month").asc_nulls_last())
     return (r.where(F.col("month") <= lit_date(as_of_month(as_of)))
             .select("month",

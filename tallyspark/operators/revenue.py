@@ -67,11 +67,34 @@ def _billable(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date,
 
 # ------------------------------------------------------------------ internal (twelfths)
 
-def _monthly(billable: DataFrame) -> DataFrame:
-    return billable.where(F.col("_interval") == "month").select(
-        (F.col("cents") * 12).alias("amount"), "date", "subscription_id", "customer_name",
-        "is_auto_renewal", "product_id", "product_name",
-        F.lit("monthly").alias("billing_cycle"), "stripe_customer_id")
+def _instalments(billable: DataFrame, as_of: dt.date) -> DataFrame:
+    """Monthly invoices and annual instalments in one pass over the billable invoices:
+    a monthly invoice yields itself (k = 0); an annual one twelve instalments of
+    ``amount/12`` (= ``cents`` twelfths), instalment k kept while ``date + k months`` is
+    before the period end (or, without one, before next month). ``add_months`` from the
+    original date clamps to month ends."""
+    monthly = F.col("_interval") == "month"
+    k = F.col("_k")
+    inst_date = F.add_months("date", k)
+    fallback_end = lit_ts(add_months(as_of_month(as_of), 1))
+    last_k = F.when(monthly, F.lit(0)).otherwise(F.lit(11))
+    return (billable.select("*", F.explode(F.sequence(F.lit(0), last_k)).alias("_k"))
+            .where(monthly | (inst_date.cast("timestamp")
+                              < F.coalesce(F.col("subscription_period_end"), fallback_end)))
+            .select(inst_date.alias("date"),
+                    F.when(monthly, F.lit("monthly")).otherwise(F.lit("annually"))
+                    .alias("billing_cycle"),
+                    "product_name",
+                    F.when(monthly, F.col("cents") * 12).otherwise(F.col("cents"))
+                    .alias("amount"),
+                    "is_auto_renewal", "stripe_customer_id", "subscription_id",
+                    "customer_name", "product_id"))
+
+
+def _monthly(billable: DataFrame, as_of: dt.date) -> DataFrame:
+    return (_instalments(billable.where(F.col("_interval") == "month"), as_of)
+            .select("amount", "date", "subscription_id", "customer_name", "is_auto_renewal",
+                    "product_id", "product_name", "billing_cycle", "stripe_customer_id"))
 
 
 def _expected(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
@@ -83,7 +106,7 @@ def _expected(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date) -> D
     """
     this_m = as_of_month(as_of)
     last_m = add_months(this_m, -1)
-    recent = _monthly(_billable(invoice, subscriptions, as_of, since=last_m))
+    recent = _monthly(_billable(invoice, subscriptions, as_of, since=last_m), as_of)
     last = recent.where(F.col("is_auto_renewal") & (month_start("date") == lit_date(last_m)))
     this = (recent.where(month_start("date") == lit_date(this_m))
             .select("subscription_id").distinct())
@@ -100,67 +123,35 @@ def _annual(billable: DataFrame) -> DataFrame:
         F.lit("annually").alias("billing_cycle"), "stripe_customer_id")
 
 
-def _spread(annual: DataFrame, as_of: dt.date) -> DataFrame:
-    """Twelve monthly instalments of ``amount/12`` (= ``cents`` twelfths), instalment k
-    kept while ``date + k months`` is before the period end (or, without one, before
-    next month). ``add_months`` from the original date clamps to month ends."""
-    fallback_end = lit_ts(add_months(as_of_month(as_of), 1))
-    k = F.col("_k")
-    inst_date = F.add_months("date", k)
-    return (annual.select("*", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("_k"))
-            .where(inst_date.cast("timestamp")
-                   < F.coalesce(F.col("subscription_period_end"), fallback_end))
-            .select(inst_date.alias("date"), F.lit("annually").alias("billing_cycle"),
-                    "product_name", "amount", F.lit(True).alias("is_actual"),
-                    "is_auto_renewal", "stripe_customer_id", "subscription_id",
-                    "customer_name", "product_id"))
-
+def _branch(df: DataFrame, is_actual: bool) -> DataFrame:
+    """Project to the union's columns and drop exact duplicates.
 
-def _branch(df: DataFrame, is_actual: Column | None = None) -> DataFrame:
-    """Project one branch to the union's columns and drop exact duplicates."""
-    return df.select(
+    The rows are dealt by all their columns before the ``distinct``. The join with
+    subscriptions above is thereby a stage of its own, whose hot subscription adaptive
+    execution can split, and the rows of a hot subscription spread over all tasks. The
+    ``distinct`` stands after the instalments: month ends make some of them equal.
+    """
+    rows = df.select(
         F.col("date").alias("recognized_at"), "billing_cycle", "product_name",
-        (is_actual if is_actual is not None else F.col("is_actual")).alias("is_actual"),
+        F.lit(is_actual).alias("is_actual"),
         "is_auto_renewal", "amount", "stripe_customer_id",
         F.col("subscription_id").alias("stripe_subscription_id"), "customer_name",
-        F.col("product_id").alias("stripe_product_id"),
-    ).distinct()
-
-
-def _recognised(billable: DataFrame, as_of: dt.date) -> DataFrame:
-    """Monthly invoices and annual instalments in one pass over the billable invoices:
-    a monthly invoice yields itself (k = 0), an annual one its kept instalments
-    (k = 0..11). The two kinds never produce equal rows (their billing cycles
-    differ), so one ``distinct`` equals the per-branch distincts."""
-    monthly = F.col("_interval") == "month"
-    k = F.col("_k")
-    inst_date = F.add_months("date", k)
-    fallback_end = lit_ts(add_months(as_of_month(as_of), 1))
-    last_k = F.when(monthly, F.lit(0)).otherwise(F.lit(11))
-    return (billable.select("*", F.explode(F.sequence(F.lit(0), last_k)).alias("_k"))
-            .where(monthly | (inst_date.cast("timestamp")
-                              < F.coalesce(F.col("subscription_period_end"), fallback_end)))
-            .select(inst_date.alias("recognized_at"),
-                    F.when(monthly, F.lit("monthly")).otherwise(F.lit("annually"))
-                    .alias("billing_cycle"),
-                    "product_name", F.lit(True).alias("is_actual"), "is_auto_renewal",
-                    F.when(monthly, F.col("cents") * 12).otherwise(F.col("cents"))
-                    .alias("amount"),
-                    "stripe_customer_id",
-                    F.col("subscription_id").alias("stripe_subscription_id"),
-                    "customer_name", F.col("product_id").alias("stripe_product_id"))
-            .distinct())
+        F.col("product_id").alias("stripe_product_id"))
+    return rows.repartition(*rows.columns).distinct()
 
 
 def _union(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
-    """The three revenue branches, each without duplicate rows: two full-table
-    reads become one (monthly + annual), the expected branch reads two months."""
-    return (_recognised(_billable(invoice, subscriptions, as_of), as_of)
-            .unionByName(_branch(_expected(invoice, subscriptions, as_of), F.lit(False))))
+    """The three revenue branches, each without duplicate rows. Monthly and annual rows
+    come from one read (they never are equal: their billing cycles differ); the expected
+    branch reads two months."""
+    actual = _instalments(_billable(invoice, subscriptions, as_of), as_of)
+    return _branch(actual, True).unionByName(
+        _branch(_expected(invoice, subscriptions, as_of), False))
 
 
 def _consolidate(union: DataFrame) -> DataFrame:
-    """One row per (month, subscription): amounts summed, the rest by max / any-true."""
+    """One row per (month, subscription): amounts summed, the rest by max / any-true,
+    partially in every task before the shuffle."""
     return (union.groupBy(month_start("recognized_at").alias("_month"), "stripe_subscription_id")
             .agg(F.max("recognized_at").alias("recognized_at"),
                  F.max("billing_cycle").alias("billing_cycle"),
@@ -181,7 +172,7 @@ def _units(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ public models
 
 def monthly_invoices(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
-    return _units(_monthly(_billable(invoice, subscriptions, as_of)))
+    return _units(_monthly(_billable(invoice, subscriptions, as_of), as_of))
 
 
 def expected_invoices(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
@@ -195,7 +186,8 @@ def annual_invoices(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date
 
 
 def annual_spread(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
-    return _units(_spread(_annual(_billable(invoice, subscriptions, as_of)), as_of))
+    billable = _billable(invoice, subscriptions, as_of).where(F.col("_interval") == "year")
+    return _units(_instalments(billable, as_of)).withColumn("is_actual", F.lit(True))
 
 
 def monthly_revenue_union(invoice: DataFrame, subscriptions: DataFrame,

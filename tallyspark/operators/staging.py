@@ -1,12 +1,10 @@
 """Staging models: clean, rename and join the raw billing tables.
 
-Join strategy. ``product``, product config, ``price`` and ``tier`` are dimension
-tables: they are broadcast only after :func:`fits_broadcast` proved their size;
-otherwise Spark plans a shuffle join. ``customer``, ``subscription_history``,
-``subscription_item`` and ``invoice`` grow with the business and are joined by
-shuffle (sort-merge, with AQE skew splitting for hot keys). NULL foreign keys on
-the preserved side of a left join are spread over the shuffle
-(:func:`spread_null_key`) instead of all landing in one task.
+Join strategy. No join carries a hint: Spark's byte threshold and adaptive
+execution pick broadcast or shuffle from real sizes, and either gives the same
+rows. NULL foreign keys on the preserved side of a left join are spread over the
+shuffle (:func:`matches`) instead of all landing in one task; hot keys are left to
+adaptive execution's skew split.
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.joins import broadcast_if_small, fits_broadcast, spread_null_key
+from tallyspark.functions.joins import matches
 from tallyspark.functions.money import cents_to_units, to_cents
 from tallyspark.functions.pricing import annual_value, billing_cycle, tier_amount
 
@@ -29,8 +27,8 @@ def _live(df: DataFrame) -> DataFrame:
 def stg_customer(customer: DataFrame, card: DataFrame) -> DataFrame:
     """Live customers with display name, location fallbacks and balance in units."""
     cards = card.select(F.col("id").alias("_card_id"), F.col("country").alias("_card_country"))
-    card_key = spread_null_key(F.col("default_card_id"), F.col("id"))
-    src = _live(customer).join(cards, card_key == F.col("_card_id"), "left")
+    src = _live(customer).join(
+        cards, matches(F.col("default_card_id"), F.col("_card_id"), F.col("id")), "left")
     return src.select(
         "id",
         F.coalesce("name", "description", F.lower("email")).alias("name"),
@@ -71,8 +69,8 @@ def priced(price: DataFrame, product: DataFrame, product_config: DataFrame) -> D
                                 F.col("name").alias("_cfg_name"),
                                 F.col("is_main_product").alias("_cfg_main"))
     src = (_live(price)
-           .join(broadcast_if_small(prod), F.col("product_id") == F.col("_prod_id"), "left")
-           .join(broadcast_if_small(cfg), F.col("_prod_id") == F.col("_cfg_id"), "left"))
+           .join(prod, matches(F.col("product_id"), F.col("_prod_id"), F.col("id")), "left")
+           .join(cfg, matches(F.col("_prod_id"), F.col("_cfg_id"), F.col("id")), "left"))
     name, main = map_product_config(F.col("_prod_id"), F.col("_prod_name"), F.col("_cfg_id"),
                                     F.col("_cfg_name"), F.col("_cfg_main"))
     return src.select(
@@ -136,8 +134,10 @@ def _item_tier_rows(item: DataFrame, prices: DataFrame, tier: DataFrame) -> Data
     p = prices.select(F.col("id").alias("_price_id"), "billing_scheme", "unit_amount_cents")
     t = tier_bounds(tier)
     return (item.select(F.col("id").alias("item_id"), "quantity", "plan_id")
-            .join(broadcast_if_small(p), F.col("plan_id") == F.col("_price_id"), "left")
-            .join(broadcast_if_small(t), F.col("_price_id") == F.col("price_id"), "left"))
+            .join(p, matches(F.col("plan_id"), F.col("_price_id"), F.col("item_id"),
+                             F.col("quantity")), "left")
+            .join(t, matches(F.col("_price_id"), F.col("price_id"), F.col("item_id"),
+                             F.col("quantity")), "left"))
 
 
 def _row_amount_cents(scheme: Column, quantity: Column, unit_cents: Column, up_to: Column,
@@ -183,7 +183,7 @@ def tiered_price_amount(item: DataFrame, price: DataFrame, product: DataFrame,
 
 
 def _item_amount_cents(item: DataFrame, prices: DataFrame, tier: DataFrame) -> DataFrame:
-    """Relational path: sum of tier-row amounts per item (shuffles on item id)."""
+    """Sum of tier-row amounts per item id (partially summed before its shuffle)."""
     rows = _item_tier_rows(item, prices, tier)
     amount = _row_amount_cents(F.col("billing_scheme"), F.col("quantity"),
                                F.col("unit_amount_cents"), F.col("up_to"), F.col("prev_up_to"),
@@ -198,37 +198,6 @@ def item_amount(item: DataFrame, price: DataFrame, product: DataFrame,
     return a.select("item_id", cents_to_units("amount_cents").alias("amount"))
 
 
-def price_tier_table(prices: DataFrame, tier: DataFrame) -> DataFrame:
-    """One row per live price with its tiers as an array.
-
-    Only used after the price and tier tables were each proven to hold at most
-    the broadcast bound of rows, which bounds the whole table and every array.
-    """
-    tiers = (tier_bounds(tier)
-             .groupBy("price_id")
-             .agg(F.collect_list(F.struct("up_to", "prev_up_to", "flat_cents", "unit_cents"))
-                  .alias("tiers")))
-    return prices.join(tiers, prices.id == tiers.price_id, "left").drop("price_id")
-
-
-def _array_amount_cents(quantity: Column, scheme: Column, unit_cents: Column,
-                        tiers: Column) -> Column:
-    """Same sum as the relational path, over the price's tier array, per item row.
-
-    per_unit: one ``quantity * unit`` per tier row (at least one row);
-    tiered: sum of the reached tiers' amounts (NULL when none or no tiers).
-    """
-    n_rows = F.greatest(F.lit(1), F.when(tiers.isNull(), F.lit(0)).otherwise(F.size(tiers)))
-
-    def add(acc: Column, t: Column) -> Column:
-        amt = tier_amount(quantity, t["up_to"], t["prev_up_to"], t["flat_cents"], t["unit_cents"])
-        return F.when(amt.isNull(), acc).otherwise(F.coalesce(acc, F.lit(0).cast("bigint")) + amt)
-
-    tiered = F.aggregate(tiers, F.lit(None).cast("bigint"), add)
-    return (F.when(scheme == "per_unit", quantity * unit_cents * n_rows)
-            .when(scheme == "tiered", tiered))
-
-
 STG_ITEM_COLUMNS = [
     "id", "created_at", "product_name", "is_main_product", "price_billing_scheme",
     "price_recurring_interval", "price_recurring_interval_count", "price_description",
@@ -238,32 +207,21 @@ STG_ITEM_COLUMNS = [
 
 def stg_subscription_item(item: DataFrame, price: DataFrame, product: DataFrame,
                           product_config: DataFrame, tier: DataFrame,
-                          broadcast_prices: bool | None = None,
                           prices: DataFrame | None = None) -> DataFrame:
     """Subscription lines with their price attributes and priced amount.
 
-    When the priced-tier table is proven small it is broadcast with each price's
-    tiers as an array, and every item is priced in the scan stage: no shuffle of
-    the item table at all. Otherwise the relational path prices item × tier rows,
-    sums them per item (one shuffle on item id) and joins the sum back.
-    Item ids are assumed unique (they are the table's key). ``prices`` may pass
-    an already built :func:`priced` table.
+    The amount is summed per item id over the item x tier rows and joined back by
+    id, as the reference does: lines that share an id share its whole sum, and a line
+    without an id has no amount. ``prices`` may pass an already built :func:`priced`
+    table.
     """
     if prices is None:
         prices = priced(price, product, product_config)
-    if broadcast_prices is None:
-        # one row per price, each carrying its tiers: bound both
-        broadcast_prices = fits_broadcast(prices) and fits_broadcast(tier)
-    if broadcast_prices:
-        pt = price_tier_table(prices, tier)
-        src = item.join(F.broadcast(pt), item.plan_id == pt.id, "left")
-        amount = _array_amount_cents(item.quantity, pt.billing_scheme,
-                                     pt.unit_amount_cents, pt.tiers)
-    else:
-        amounts = _item_amount_cents(item, prices, tier)
-        src = (item.join(prices, item.plan_id == prices.id, "left")
-               .join(amounts, item.id == amounts.item_id, "left"))
-        amount = F.col("amount_cents")
+    amounts = _item_amount_cents(item, prices, tier)
+    src = (item.join(prices, matches(item.plan_id, prices.id, item.id, item.created), "left")
+           .join(amounts, matches(item.id, amounts.item_id, item.plan_id, item.subscription_id,
+                                  item.created), "left"))
+    amount = F.col("amount_cents")
     return src.select(
         item.id,
         item.created.alias("created_at"),
@@ -283,28 +241,13 @@ def stg_subscription_item(item: DataFrame, price: DataFrame, product: DataFrame,
 
 # --------------------------------------------------------------------------- subscription
 
-def plan_amount(items: DataFrame) -> DataFrame:
-    """Total of all prices of a subscription, add-ons included (units)."""
-    return (items.groupBy("subscription_id")
-            .agg(F.sum(to_cents("price_amount")).alias("_cents"))
-            .select("subscription_id", cents_to_units("_cents").alias("amount")))
-
-
-PLAN_COLUMNS = [
-    "subscription_id", "product_name", "plan_description", "plan_billing_scheme",
-    "plan_recurring_interval", "plan_recurring_interval_count", "plan_amount", "price_id",
-    "product_id",
-]
-
+def _plans(items: DataFrame) -> DataFrame:
+    """Per subscription: the total of all its items, and its oldest main-product item.
 
-def main_plan(items: DataFrame) -> DataFrame:
-    """The plan of each subscription: its oldest main-product item, priced at the
-    total of all its items.
-
-    One ``groupBy(subscription_id)`` does both the total and the pick (``min_by``
-    over main items ordered by created_at, NULLs last, then item id), so both are
-    partially aggregated before the shuffle: a subscription with a huge number of
-    items never lands in one task as raw rows.
+    One ``groupBy(subscription_id)`` does both (``min_by`` over main items ordered by
+    created_at, NULLs last, then item id), so both are partially aggregated before the
+    shuffle: a subscription with a huge number of items never lands in one task as raw
+    rows, which a ``row_number`` window would make it do.
     """
     is_main = F.coalesce(F.col("is_main_product"), F.lit(False))
     plan = F.struct(
@@ -317,12 +260,29 @@ def main_plan(items: DataFrame) -> DataFrame:
         F.col("product_id"),
     )
     order = F.struct(F.col("created_at").isNull(), F.col("created_at"), F.col("id"))
-    agg = (items.groupBy("subscription_id")
-           .agg(F.sum(to_cents("price_amount")).alias("_cents"),
-                F.min_by(F.when(is_main, plan), F.when(is_main, order)).alias("_plan")))
+    return (items.groupBy("subscription_id")
+            .agg(F.sum(to_cents("price_amount")).alias("_cents"),
+                 F.min_by(F.when(is_main, plan), F.when(is_main, order)).alias("_plan")))
+
+
+def plan_amount(items: DataFrame) -> DataFrame:
+    """Total of all prices of a subscription, add-ons included (units)."""
+    return _plans(items).select("subscription_id", cents_to_units("_cents").alias("amount"))
+
+
+PLAN_COLUMNS = [
+    "subscription_id", "product_name", "plan_description", "plan_billing_scheme",
+    "plan_recurring_interval", "plan_recurring_interval_count", "plan_amount", "price_id",
+    "product_id",
+]
+
+
+def main_plan(items: DataFrame) -> DataFrame:
+    """The plan of each subscription: its oldest main-product item, priced at the
+    total of all its items."""
     # the total is attached by subscription id, which a NULL id never matches
     total = F.when(F.col("subscription_id").isNotNull(), cents_to_units("_cents"))
-    return (agg.where(F.col("_plan").isNotNull())
+    return (_plans(items).where(F.col("_plan").isNotNull())
             .select("subscription_id", "_plan.*", total.alias("plan_amount"))
             .select(*PLAN_COLUMNS))
 
@@ -346,9 +306,8 @@ def stg_subscription(subscription_history: DataFrame, customers: DataFrame,
     plans = main_plan(items)
     names = customers.select(F.col("id").alias("_cust_id"), F.col("name").alias("customer_name"))
     live = subscription_history.where(F.col("livemode") & F.col("_fivetran_active"))
-    cust_key = spread_null_key(F.col("customer_id"), live.id)
     src = (live.join(plans, live.id == plans.subscription_id, "left")
-           .join(names, cust_key == F.col("_cust_id"), "left"))
+           .join(names, matches(F.col("customer_id"), F.col("_cust_id"), live.id), "left"))
     return src.select(
         live.id,
         "customer_name",
@@ -390,9 +349,8 @@ def stg_invoice(invoice: DataFrame, customers: DataFrame, subscriptions: DataFra
     prods = subscriptions.select(F.col("id").alias("_sub_id"), "product_name")
     inv = live_invoices(invoice)
     src = (inv
-           .join(names, spread_null_key(inv.customer_id, inv.id) == F.col("_cust_id"), "left")
-           .join(prods, spread_null_key(inv.subscription_id, inv.id) == F.col("_sub_id"),
-                 "left"))
+           .join(names, matches(inv.customer_id, F.col("_cust_id"), inv.id), "left")
+           .join(prods, matches(inv.subscription_id, F.col("_sub_id"), inv.id), "left"))
     return src.select(
         "id", "customer_name", "product_name",
         F.col("number").alias("reference_number"),

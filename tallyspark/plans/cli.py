@@ -1,14 +1,16 @@
 """Command line: ``setup`` writes the product config seed, ``create`` builds the models.
 
-    python -m tallyspark.plans.cli setup  --billing DIR --config DIR
+    python -m tallyspark.plans.cli setup  --billing DIR --config DIR [--force]
     python -m tallyspark.plans.cli create --billing DIR --out DIR [--config DIR]
                                           [--as-of YYYY-MM-DD] [--model NAME]
                                           [--force] [--no-cache]
 
-``create`` builds the model graph in order, writes every model as a Parquet table
-under ``--out/models`` (an existing table is kept unless ``--force``), and exports
-the two public metric tables as CSV under ``--out/exports``. ``--model`` builds up
-to that model and stops. ``--no-cache`` skips keeping the built models in memory.
+``setup`` fails if there is a config already, unless ``--force``. ``create`` builds the
+model graph in order, writes every model as a Parquet table under ``--out/models`` and
+exports the two public metric tables as CSV under ``--out/exports``. A stored table is kept
+only while its as-of date, config and inputs are the same; ``--force`` rebuilds all.
+``--model`` builds up to that model, by force, and stops. ``--no-cache`` skips keeping
+updated models in memory.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ def setup(args: argparse.Namespace) -> None:
     """Write the default product config (every product main, its own name) for editing."""
     spark = get_session()
     product = read_table(spark, args.billing, "product", args.format)
-    seed_product_config(product).write.mode("overwrite").option("header", True).csv(args.config)
+    mode = "overwrite" if args.force else "error"
+    seed_product_config(product).write.mode(mode).option("header", True).csv(args.config)
     print(f"wrote product config to {args.config}; edit names / is_main_product, then run create")
 
 
@@ -42,7 +45,7 @@ def create(args: argparse.Namespace) -> None:
                   .csv(args.config))
     tables = read_billing_tables(spark, args.billing, args.format, product_config=config)
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
-    ms = ModelSet(tables, as_of, folder=f"{args.out}/models", force=args.force,
+    ms = ModelSet(tables, as_of, folder=f"{args.out}/models", force=args.force or bool(args.model),
                   cache=not args.no_cache,
                   materialize=[n for n in ModelSet.NAMES if n not in EXPORTS])
     names = ms.names
@@ -51,7 +54,7 @@ def create(args: argparse.Namespace) -> None:
     for name in names:
         df = ms.model(name)
         if name in EXPORTS:
-            sinks.export_csv(df, f"{args.out}/exports/{name}")
+            sinks.export_csv(df, f"{args.out}/exports/{name}", single_file=True)
             print(f"* {name}: {args.out}/exports/{name}")
         else:
             print(f"* {name}: {ms.table_path(name)}")
@@ -64,6 +67,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--billing", required=True)
     s.add_argument("--config", required=True)
     s.add_argument("--format", default="parquet")
+    s.add_argument("--force", action="store_true")
     c = sub.add_parser("create", help="build the models and exports")
     c.add_argument("--billing", required=True)
     c.add_argument("--out", required=True)

@@ -1,11 +1,11 @@
 """The model graph: every model as a lazily built, optionally materialised DataFrame.
 
 A model's dependencies are plain DataFrame arguments, so asking for one model
-builds exactly its lineage (``build_until``). Models read by several others
-(``stg_subscription``, ``revenue`` and the three quarterly models) can be
-materialised: written as Parquet into the session's shared checkpoint folder
-and read back, which computes them once and cuts the lineage, so a lost
-executor only recomputes from the last written model.
+builds exactly its lineage (``build_until``). The ten models that others read
+(``SHARED_MODELS``) and the customer-month table behind both monthly models can be
+materialised: written as Parquet into the session's shared checkpoint folder and
+read back, which computes them once and cuts the lineage, so a lost executor only
+recomputes from the last written model.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.operators import exports, monthly, quarterly, revenue, staging, trials
 from tallyspark.plans import sinks
 from tallyspark.session import checkpoint_dir
-from tallyspark.sources.readers import BillingTables
+from tallyspark.sources.readers import BillingTables, input_state
 
 # Models read by other models. Materialising them (as the reference persists its
 # saved models) computes each once when the whole graph is built; leaves such as
@@ -30,6 +30,12 @@ SHARED_MODELS = ("stg_customer", "stg_subscription_item", "stg_subscription", "r
                  "monthly_arr", "monthly_customers", "monthly_trialers", "quarterly_arr",
                  "quarterly_customers", "quarterly_trialers")
 
+# Tables between models; they have no name of their own in the reference.
+INTERNAL = {"customer_months": "revenue"}
+
+# What a text can say besides names of tables: strings and comments.
+_QUOTED = re.compile(r"'(?:[^'\\\\]|\\\\.)*'|\"(?:[^\"\\\\]|\\\\.)*\"|--[^\n]*|/\\*.*?\\*/", re.S)
+
 
 class ModelSet:
     """All models over one set of billing tables and one as-of date."""
@@ -44,8 +50,11 @@ class ModelSet:
                  materialize: Iterable[str] = (), folder: str | None = None,
                  force: bool = True, cache: bool = False):
         """``materialize``: models written to ``folder`` (default: a new folder under
-        the session's checkpoint folder) and read back; an existing table is
-        replaced when ``force``, else kept. ``cache``: persist every built model."""
+        the session's checkpoint folder) and read back. A table stored there before is
+        kept only if ``force`` is off and it has the same schema, as-of date, product
+        config and inputs. ``cache``: persist the models that replace a stored version
+        (a model stored for the first time is not persisted); without it, they are
+        unpersisted."""
         self.tables = tables
         self.as_of = as_of
         self.spark: SparkSession = tables.invoice.sparkSession
@@ -55,11 +64,14 @@ class ModelSet:
         self._cache = cache
         self._built: dict[str, DataFrame] = {}
         self._prices: DataFrame | None = None
+        self._stamp: str | None = None
+        self._made_folder: str | None = None
+        self.persisted: set[str] = set()
         # one builder at a time: a model is materialised once even when several
         # threads ask for it (re-entrant, as building a model builds its inputs)
         self._lock = threading.RLock()
         self._defs: dict[str, Callable[[], DataFrame]] = self._definitions()
-        assert tuple(self._defs) == self.NAMES
+        assert tuple(n for n in self._defs if n not in INTERNAL) == self.NAMES
 
     # ---------------------------------------------------------------- graph
     def _definitions(self) -> dict[str, Callable[[], DataFrame]]:
@@ -76,8 +88,9 @@ class ModelSet:
             "stg_invoice": lambda: staging.stg_invoice(
                 t.invoice, m("stg_customer"), m("stg_subscription")),
             "revenue": lambda: revenue.revenue(t.invoice, m("stg_subscription"), a),
-            "monthly_arr": lambda: monthly.monthly_arr(m("revenue"), a),
-            "monthly_customers": lambda: monthly.monthly_customers(m("revenue"), a),
+            "customer_months": lambda: monthly.customer_months(m("revenue")),
+            "monthly_arr": lambda: monthly.monthly_arr(m("customer_months"), a),
+            "monthly_customers": lambda: monthly.monthly_customers(m("customer_months"), a),
             "monthly_trialers": lambda: trials.monthly_trialers(m("stg_subscription"), a),
             "quarterly_arr": lambda: quarterly.quarterly_arr(m("monthly_arr"), a),
             "quarterly_customers": lambda: quarterly.quarterly_customers(
@@ -100,7 +113,7 @@ class ModelSet:
 
     @property
     def names(self) -> list[str]:
-        return list(self._defs)
+        return list(self.NAMES)
 
     def model(self, name: str) -> DataFrame:
         """The named model's DataFrame (built once; materialised if requested)."""
@@ -112,13 +125,40 @@ class ModelSet:
             if name not in self._defs:
                 raise KeyError(f"unknown model {name!r}; known: {', '.join(self._defs)}")
             df = self._defs[name]()
-            if name in self._materialize:
-                df = sinks.write_model_table(df, self.table_path(name), force=self._force)
-            if self._cache:
-                df = sinks.cache_model(df)
+            if name in self._materialize or INTERNAL.get(name) in self._materialize:
+                path = self.table_path(name)
+                had = sinks._finished(self.spark, path)
+                df = sinks.write_model_table(df, path, force=self._force, stamp=self.stamp)
+                updated = had and sinks._finished(self.spark, path)[-1]["number"] > had[-1]["number"]
+                if updated and self._cache:
+                    df = sinks.cache_model(df)
+                    self.persisted.add(name)
+                elif not self._cache:
+                    df = sinks.cache_model(df, no_cache=True)
             self._built[name] = df
         return self._built[name]
 
+    @property
+    def stamp(self) -> str:
+        """What every stored model of this set depends on: the as-of date, the product
+        config, and the input files (or, for inputs without files, their plans)."""
+        if self._stamp is None:
+            tables = self.tables.as_dict()
+            self._stamp = sinks.stamp_of(
+                as_of=self.as_of, config=sinks.checksum(tables.pop("product_config")),
+                **{name: input_state(df) for name, df in tables.items()})
+        return self._stamp
+
+    def close(self) -> None:
+        """Release what this set holds: persisted models, and its folder if it chose it."""
+        for name in self.persisted:
+            self._built[name].unpersist()
+        self.persisted.clear()
+        if self._made_folder is not None:
+            sinks.delete_folder(self.spark, self._made_folder)
+            self._made_folder = self._folder = None
+        self._built.clear()
+
     __getitem__ = model
 
     def build_until(self, name: str) -> DataFrame:
@@ -130,6 +170,7 @@ class ModelSet:
         """Where a materialised model is stored (under the shared checkpoint folder)."""
         if self._folder is None:
             self._folder = f"{checkpoint_dir(self.spark).rstrip('/')}/models-{uuid.uuid4().hex}"
+            self._made_folder = self._folder
         return f"{self._folder}/{name}"
 
     def register_views(self, names: Iterable[str] | None = None) -> None:
@@ -138,9 +179,24 @@ class ModelSet:
             self.model(n).createOrReplaceTempView(n)
 
     def adhoc_sql(self, text: str) -> DataFrame:
-        """Run one SQL text over the models (registered as views) and the raw tables
-        (as ``raw_<table>``); errors raise as usual. Only the models the text names
-        are built."""
-        self.tables.register_views(prefix="raw_")
-        self.register_views([n for n in self.names if re.search(rf"\b{n}\b", text)])
-        return self.spark.sql(text)
+        """Run one SQL text over the models (named in any case) and the raw tables (as
+        ``raw_<table>``); errors raise as usual. Only the models the text names are built.
+        The names are views while the text is analysed; views of the caller that have the
+        same names are put back afterwards, and the others are dropped."""
+        said = {w.lower() for w in re.findall(r"\w+", _QUOTED.sub(" ", text))}
+        raw = {f"raw_{n}": df for n, df in self.tables.as_dict().items()}
+        views = {n: df for n, df in raw.items() if n in said}
+        views |= {n: self.model(n) for n in self.names if n in said}
+        catalog = self.spark.catalog
+        mine = {t.name.lower() for t in catalog.listTables() if t.isTemporary}
+        before = {n: self.spark.table(n) for n in views if n in mine}
+        try:
+            for n, df in views.items():
+                df.createOrReplaceTempView(n)
+            return self.spark.sql(text)
+        finally:
+            for n in views:
+                if n in before:
+                    before[n].createOrReplaceTempView(n)
+                else:
+                    catalog.dropTempView(n)

@@ -1,49 +1,104 @@
-"""Sinks: model tables, caching and CSV export."""
+"""Sinks: versioned model tables, caching and CSV export."""
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_LOG = "_versions"      # below a table's folder: one row for each finished version
+_LOG_SCHEMA = "number long, folder string, stamp string, schema string"
+KEPT_VERSIONS = 2       # the current one and the one that readers may still hold
+
+
+def _finished(spark: SparkSession, path: str) -> list:
+    """The finished versions of a table, the newest last (none if it is no model table)."""
+    try:
+        return (spark.read.schema(_LOG_SCHEMA).json(f"{path}/{_LOG}")
+                .where("number is not null and folder is not null").orderBy("number").collect())
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return []
+        raise
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark can reach (no error if it is gone)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
-# Exports are per-quarter metric tables: at most 19 rows per quarter (a few
-# thousand rows even over centuries), so one output file is safe.
-EXPORT_MAX_ROWS = 100_000
 
+def stamp_of(**facts) -> str:
+    """What a stored table depends on, as text that can be compared."""
+    return json.dumps({k: str(v) for k, v in facts.items()}, sort_keys=True)
 
-def write_model_table(df: DataFrame, path: str, force: bool = False,
-                      fmt: str = "parquet") -> DataFrame:
+
+def write_model_table(df: DataFrame, path: str, force: bool = False, fmt: str = "parquet",
+                      stamp: str = "") -> DataFrame:
     """Save a model so later models reuse it, and return it read back.
 
-    Created when absent; replaced when ``force``; otherwise an existing table is
-    kept as it is (Spark's ``ignore`` mode).
+    Every write goes to a new version folder below ``path``, which is entered in a log after
+    it is complete; readers take the last entered version, so a failed or half-written
+    table is never read. A stored table is kept only if, without ``force``, its last version
+    has this model's schema and this ``stamp`` (as-of date, configuration, inputs);
+    anything else, an empty or a foreign folder too, is built anew.
     """
-    mode = "overwrite" if force else "ignore"
-    df.write.mode(mode).format(fmt).save(path)
-    return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
+    spark = df.sparkSession
+    schema = df.schema.json()
+    done = _finished(spark, path)
+    if not force and done and done[-1]["stamp"] == stamp and done[-1]["schema"] == schema:
+        folder = done[-1]["folder"]
+    else:
+        folder = f"v-{uuid.uuid4().hex}"
+        df.write.format(fmt).save(f"{path}/{folder}")
+        number = done[-1]["number"] + 1 if done else 1
+        spark.createDataFrame([(number, folder, stamp, schema)], _LOG_SCHEMA).coalesce(
+            1).write.mode("append").json(f"{path}/{_LOG}")
+        for old in done[:1 - KEPT_VERSIONS]:
+            delete_folder(spark, f"{path}/{old['folder']}")
+    return spark.read.schema(df.schema).format(fmt).load(f"{path}/{folder}")
+
+
+def read_model_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The last finished version of a stored model; an error if there is none."""
+    from pyspark.sql.types import StructType
+
+    done = _finished(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no finished model table at {path}")
+    schema = StructType.fromJson(json.loads(done[-1]["schema"]))
+    return spark.read.schema(schema).format(fmt).load(f"{path}/{done[-1]['folder']}")
 
 
 def cache_model(df: DataFrame, no_cache: bool = False) -> DataFrame:
     """Keep a model in executor memory/disk for reuse, or drop it (``no_cache``).
 
     Persisted blocks are recomputed from lineage if an executor is lost; for a
-    hard lineage cut use :func:`write_model_table`. Re-reading a replaced table
-    gives a fresh plan, so persisting that read is the refresh.
+    hard lineage cut use :func:`write_model_table`.
     """
     if no_cache:
         return df.unpersist()
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def export_csv(df: DataFrame, path: str) -> DataFrame:
-    """Publish an export as one CSV file with a header; returns it read back.
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> DataFrame:
+    """Publish an export as CSV with a header; returns it read back.
 
-    One file is only written after checking the export is within
-    ``EXPORT_MAX_ROWS`` (a ``count``); larger outputs are written as one file
-    per partition.
+    ``single_file`` gathers it into one file, for a table known to be small (the metric
+    exports: at most 19 rows a quarter); otherwise each partition writes its own.
     """
-    small = df.count() <= EXPORT_MAX_ROWS
-    out = df.coalesce(1) if small else df
+    out = df.coalesce(1) if single_file else df
     # keep labels verbatim: one of them ends in a space
     opts = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     out.write.mode("overwrite").options(**opts).csv(path)
     return df.sparkSession.read.schema(df.schema).options(**opts).csv(path)
+
+
+def checksum(df: DataFrame) -> str:
+    """Row count and an order-free sum of row hashes (computed by the executors)."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(
+        F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("s")).first()
+    return f"{row['n']}:{row['s']}"

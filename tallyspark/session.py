@@ -24,8 +24,6 @@ _TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a hash partitioning on a subset of the keys is enough to co-locate a join
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.joins import broadcast_if_small
 from tallyspark.sources.readers import BillingTables, conform
 
 
@@ -26,10 +25,9 @@ def _rows(*rows: dict) -> Column:
 
 
 def derive_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    # nation and region are tiny dimension tables (broadcast after the size check)
     src = (customer
-           .join(broadcast_if_small(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-           .join(broadcast_if_small(region), F.col("n_regionkey") == F.col("r_regionkey")))
+           .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+           .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
     return conform(src.selectExpr(
         "concat('cus_', cast(c_custkey as string)) as id",
         "case when c_custkey % 10 = 0 then null else c_name end as name",

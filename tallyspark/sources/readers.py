@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, fields
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.sources.schemas import BILLING_SCHEMAS, PRODUCT_CONFIG
 
@@ -34,16 +36,54 @@ class BillingTables:
             df.createOrReplaceTempView(prefix + name)
 
 
+def input_state(df: DataFrame) -> str:
+    """Which files a table is read from, with their sizes and times (one listing for each
+    folder); for a table without files, its plan. Changes when the data are replaced, under
+    the same names too."""
+    files = set(df.inputFiles())
+    if not files:
+        return f"plan {df.semanticHash()}"
+    spark = df.sparkSession
+    found = []
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(folder))
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found += [(s.getPath().toString(), s.getLen(), s.getModificationTime())
+                  for s in system.listStatus(path) if s.isFile()]
+    return hashlib.sha256(repr((sorted(files), sorted(found))).encode()).hexdigest()
+
+
+def _whole(name: str, column: str, kind: T.DataType) -> Column:
+    """The column as a long; an amount or count with a fraction (12.5 cents) is an error,
+    not a silent 12."""
+    c = F.col(column)
+    if not isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType, T.StringType)):
+        return c.cast("long")
+    exact = c.cast("decimal(38,10)")
+    return F.when(exact != F.floor(exact), F.raise_error(F.concat(
+        F.lit(f"{name}.{column} is not a whole number: "), c.cast("string")))).otherwise(
+        exact.cast("long"))
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Select the schema's columns, cast to the schema's types (extra columns dropped)."""
+    """Select the schema's columns, cast to the schema's types (extra columns dropped).
+    Fractions in whole-number columns raise an error when the rows are read."""
     schema = BILLING_SCHEMAS[name]
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select([
+        (_whole(name, f.name, df.schema[f.name].dataType) if f.dataType == T.LongType()
+         else F.col(f.name).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
 def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """Scan one billing table stored as ``{path}/{name}`` (a folder or a file)."""
-    df = spark.read.format(fmt).load(f"{path.rstrip('/')}/{name}")
-    return conform(df, name)
+    """Scan one billing table stored as ``{path}/{name}`` (a folder or a file).
+
+    CSV files need a header line, by which columns are found whatever their order; whole
+    numbers are read as text first, so that a fraction is noticed.
+    """
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("inferSchema", False)
+    return conform(reader.load(f"{path.rstrip('/')}/{name}"), name)
 
 
 def read_billing_tables(spark: SparkSession, path: str, fmt: str = "parquet",

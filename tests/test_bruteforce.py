@@ -6,7 +6,6 @@ import calendar
 import datetime as dt
 import random
 
-import pytest
 from conftest import billing
 from pyspark.sql import functions as F
 
@@ -33,8 +32,7 @@ def _tiered_amount(q, tiers):
     return total
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_tier_pricing_matches_brute_force(spark, broadcast):
+def test_tier_pricing_matches_brute_force(spark):
     r = random.Random(3)
     prices, tiers, items, expected = [], [], [], {}
     for i in range(60):
@@ -60,7 +58,7 @@ def test_tier_pricing_matches_brute_force(spark, broadcast):
             expected[iid] = _tiered_amount(q, spec)
     t = billing(spark, price=prices, tier=tiers, subscription_item=items)
     out = staging.stg_subscription_item(t.subscription_item, t.price, t.product,
-                                        t.product_config, t.tier, broadcast_prices=broadcast)
+                                        t.product_config, t.tier)
     got = {row.id: (None if row.c is None else row.c)
            for row in out.select("id", F.round(F.col("price_amount") * 100)
                                  .cast("bigint").alias("c")).collect()}

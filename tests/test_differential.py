@@ -172,10 +172,16 @@ def _bag(cols, rows):
 @pytest.mark.parametrize("seed,hot", [(7, False), (11, False), (23, False), (5, True)])
 def test_random_tables_match_oracle(spark, seed, hot):
     rows = make_tables(seed, hot)
+    # an item id that occurs twice, and an item without one, on per-unit prices
+    flat = {p["id"] for p in rows["price"] if p.get("billing_scheme") == "per_unit"}
+    odd = [i for i in rows["subscription_item"] if i.get("plan_id") in flat
+           and i.get("created") is not None][:2]
+    rows["subscription_item"] += [dict(odd[0])] + [
+        dict(i, id=None, created=i["created"] + dt.timedelta(days=1)) for i in odd[1:]]
     tables = billing(spark, **rows)
     fake_dir = f"/nonexistent/random-{seed}-{uuid.uuid4().hex}"
-    se._MODEL_SETS[(spark.sparkContext.applicationId, os.path.abspath(fake_dir))] = ModelSet(
-        tables, AS_OF, materialize=SHARED_MODELS)
+    se._MODEL_SETS[(spark.sparkContext.applicationId, fake_dir)] = (None, ModelSet(
+        tables, AS_OF, materialize=SHARED_MODELS))
     con = duckdb.connect()
     for name, rs in rows.items():
         con.register(f"src_{name}", _arrow(name, rs))

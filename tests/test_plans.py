@@ -8,10 +8,12 @@ import re
 import tempfile
 
 import pytest
-from conftest import SF_SMALL, collect_sorted
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
-from tallyspark.functions.joins import CONF_KEY
+from tallyspark.functions.joins import matches, spread_null_key
 from tallyspark.operators import monthly, revenue, staging
+from tallyspark.plans import ModelSet
 from tallyspark.session import AS_OF_TEST
 from tallyspark.sources import derive_billing_tables, read_billing_tables
 
@@ -58,55 +60,79 @@ def test_revenue_reads_invoices_once_in_full(spark, stored):
 
 
 def test_monthly_models_need_no_join(spark):
-    rev = spark.createDataFrame([], "stripe_customer_id string, recognized_at date, "
-                                    "month date, amount double")
+    rev = monthly.customer_months(spark.createDataFrame(
+        [], "stripe_customer_id string, recognized_at date, month date, amount double"))
     for df in [monthly.monthly_arr(rev, AS_OF_TEST), monthly.monthly_customers(rev, AS_OF_TEST)]:
         text = plan(df)
         assert "Join" not in text
         assert text.count("Window") >= 2  # per customer, then one row per month
 
 
-def test_item_pricing_is_map_only_when_prices_are_small(spark, stored):
+def _subscriptions(t):
+    return staging.stg_subscription(
+        t.subscription_history, staging.stg_customer(t.customer, t.card),
+        staging.stg_subscription_item(t.subscription_item, t.price, t.product, t.product_config,
+                                      t.tier))
+
+
+def test_building_plans_runs_no_job(spark, stored):
+    t, _ = stored
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    ms = ModelSet(t, AS_OF_TEST)
+    for name in ms.names:
+        ms.model(name)
+    staging.item_amount(t.subscription_item, t.price, t.product, t.product_config, t.tier)
+    assert len(tracker.getJobIdsForGroup()) == before
+
+
+def test_no_join_is_hinted(spark, stored):
     t, _ = stored
-    args = (t.subscription_item, t.price, t.product, t.product_config, t.tier)
-    text = plan(staging.stg_subscription_item(*args))
-    assert "SortMergeJoin" not in text
-    # the top join streams the item scan directly: the item table is never shuffled
-    m = re.search(r"BroadcastHashJoin LeftOuter BuildRight \(\d+\)\n\s*:- Scan parquet\s+\((\d+)\)",
-                  text)
-    assert m, text
-    node = re.search(rf"\({m.group(1)}\) Scan parquet.*?\n\n", text, re.S).group(0)
-    assert re.search(r"/subscription_item\]", node)
-
-
-def test_relational_fallback_beyond_the_bound(spark, stored):
+    for name in ModelSet.NAMES:
+        logical = ModelSet(t, AS_OF_TEST).model(name)._jdf.queryExecution().analyzed().toString()
+        assert "ResolvedHint" not in logical and "UnresolvedHint" not in logical
+
+
+def test_hot_subscription_is_split(spark, stored):
+    """Half of the invoices on one subscription: the join is followed by an exchange over
+    all columns, so that it is a stage of its own, which adaptive execution splits, and the
+    subscription's rows spread over the tasks of the distinct."""
     t, _ = stored
-    args = (t.subscription_item, t.price, t.product, t.product_config, t.tier)
-    fast = staging.stg_subscription_item(*args)
-    spark.conf.set(CONF_KEY, "10")
+    subs = _subscriptions(t)
+    hot = subs.where("plan_recurring_interval = 'month' and plan_recurring_interval_count = 1"
+                     ).first()["id"]
+    inv = t.invoice.withColumn("subscription_id", F.when(
+        F.pmod(F.xxhash64("id"), F.lit(2)) == 0, F.lit(hot)).otherwise(F.col("subscription_id")))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
-        slow = staging.stg_subscription_item(*args)
-        # prices no longer fit: tier amounts are summed per item by a shuffle aggregate
-        assert re.search(r"Keys \[1\]: \[item_id", plan(slow))
-        assert not re.search(r"Keys \[1\]: \[item_id", plan(fast))
-        assert collect_sorted(slow, "id") == collect_sorted(fast, "id")
+        df = revenue.revenue(inv, subs, AS_OF_TEST)
+        assert df.count() > 0
+        df.collect()
+        final = plan(df)
     finally:
-        spark.conf.unset(CONF_KEY)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in final
+    assert re.search(r"hashpartitioning\(recognized_at.*?amount.*?REPARTITION_BY_COL", final)
 
 
 def test_null_foreign_keys_spread_but_never_match(spark):
-    from pyspark.sql import functions as F
-
-    from tallyspark.functions.joins import spread_null_key
     rows = [(f"in_{i}", None if i % 3 else f"cus_{i % 50}") for i in range(3000)]
     inv = spark.createDataFrame(rows, "id string, customer_id string")
     cust = spark.createDataFrame([(f"cus_{i}", f"N{i}") for i in range(50)], "cid string, name string")
     key = spread_null_key(F.col("customer_id"), F.col("id"))
     spread = inv.where(F.col("customer_id").isNull()).select(key.alias("k"))
-    assert spread.distinct().count() > 500          # a third of rows no longer share one key
-    # real keys pass through unchanged
-    assert inv.where(F.col("customer_id").isNotNull() & (key != F.col("customer_id"))) \
-              .count() == 0
-    plain = inv.join(cust, inv.customer_id == cust.cid, "left").select("id", "name")
-    spread_join = inv.join(cust, key == cust.cid, "left").select("id", "name")
-    assert sorted(plain.collect()) == sorted(spread_join.collect())
+    assert spread.distinct().count() == 2000        # the rows no longer share any key
+    # an id that reads like a spread key matches nothing
+    fake = cust.unionByName(spread.limit(5).select(F.col("k").alias("cid"), F.lit("no").alias("name")))
+    plain = inv.join(fake, inv.customer_id == fake.cid, "left").select("id", "name")
+    joined = inv.join(fake, matches(inv.customer_id, fake.cid, inv.id), "left").select("id", "name")
+    assert sorted(plain.collect()) == sorted(joined.collect())

@@ -98,7 +98,7 @@ def test_waterfall_reactivation_gap_and_null_customer(spark):
         ("c2", D(2000, 10, 1), 5.0),             # alone in 2000-10, churns in 2000-11
         (None, D(2001, 1, 1), 100.0),            # no customer id: never counted
     ])
-    arr = {r["month"]: r for r in monthly.monthly_arr(rev, AS_OF).collect()}
+    arr = {r["month"]: r for r in monthly.monthly_arr(monthly.customer_months(rev), AS_OF).collect()}
     # 2000-12 lies in no customer's span: no row at all
     assert sorted(arr) == [D(2000, 10, 1), D(2000, 11, 1), D(2001, 1, 1), D(2001, 2, 1),
                            D(2001, 3, 1), D(2001, 4, 1), D(2001, 5, 1), D(2001, 6, 1)]
@@ -111,7 +111,7 @@ def test_waterfall_reactivation_gap_and_null_customer(spark):
     assert arr[D(2001, 6, 1)]["churn_arr"] == 0.0  # not booked in the as-of month
     # beginning = previous *row's* ending (2000-12 has no row at all)
     assert arr[D(2001, 1, 1)]["beginning_arr"] is None  # 2000-11 ending is NULL
-    cust = {r["month"]: r for r in monthly.monthly_customers(rev, AS_OF).collect()}
+    cust = {r["month"]: r for r in monthly.monthly_customers(monthly.customer_months(rev), AS_OF).collect()}
     assert cust[D(2000, 10, 1)]["beginning_customers"] == 0
     assert cust[D(2001, 4, 1)]["churn_customers"] == -1
     assert cust[D(2001, 5, 1)]["new_customers"] == 1
@@ -121,9 +121,9 @@ def test_waterfall_reactivation_gap_and_null_customer(spark):
 def test_customer_months_matches_reference_null_month_row(spark):
     rev = _revenue_rows(spark, [(None, D(2001, 1, 1), 1.0), (None, D(2001, 3, 1), 2.0),
                                 ("c", D(2001, 1, 1), 4.0)])
-    rows = collect_sorted(monthly.customer_month_lag_lead(rev), "stripe_customer_id", "month")
-    got = [(r["stripe_customer_id"], r["month"], r["total_per_customer"],
-            r["total_per_customer_previous_month"], r["total_per_customer_next_month"])
+    rows = collect_sorted(monthly.customer_month_lag_lead(monthly.customer_months(rev)), "stripe_customer_id", "month")
+    got = [(r["stripe_customer_id"], r["month"], r["total_in_month"],
+            r["total_previous_month"], r["total_next_month"])
            for r in rows]
     assert got == [
         ("c", D(2001, 1, 1), 4.0, None, None), ("c", D(2001, 2, 1), None, 4.0, None),

@@ -2,25 +2,104 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import os
 import tempfile
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from tallyspark.plans import ModelSet, sinks
 from tallyspark.session import AS_OF_TEST
 from tallyspark.sources import derive_billing_tables
 
 
+def _folder(name):
+    return os.path.join(tempfile.mkdtemp(prefix="sink-"), name)
+
+
 def test_model_table_create_keep_and_force(spark):
-    path = os.path.join(tempfile.mkdtemp(prefix="sink-"), "t")
+    path = _folder("t")
     a = spark.createDataFrame([(1,)], "x int")
     b = spark.createDataFrame([(2,)], "x int")
     assert [r.x for r in sinks.write_model_table(a, path).collect()] == [1]
-    # existing table kept without force
+    # a table of the same schema and stamp is kept without force
     assert [r.x for r in sinks.write_model_table(b, path).collect()] == [1]
+    first = sinks.read_model_table(spark, path)
     assert [r.x for r in sinks.write_model_table(b, path, force=True).collect()] == [2]
+    assert [r.x for r in sinks.read_model_table(spark, path).collect()] == [2]
+    assert [r.x for r in first.collect()] == [1]    # a reader of the version before is not cut off
+    for i in range(3):
+        sinks.write_model_table(spark.createDataFrame([(i,)], "x int"), path, force=True)
+    assert len([f for f in os.listdir(path) if f.startswith("v-")]) == sinks.KEPT_VERSIONS
+
+
+def test_other_stamp_or_schema_is_rebuilt(spark):
+    path = _folder("t")
+    sinks.write_model_table(spark.createDataFrame([(1,)], "x int"), path, stamp="as-of 2000")
+    new = sinks.write_model_table(spark.createDataFrame([(2,)], "x int"), path, stamp="as-of 2001")
+    assert [r.x for r in new.collect()] == [2]
+    new = sinks.write_model_table(spark.createDataFrame([(3,)], "y int"), path, stamp="as-of 2001")
+    assert [r.y for r in new.collect()] == [3]
+
+
+def test_empty_foreign_or_unfinished_folder_is_rebuilt(spark):
+    want = spark.createDataFrame([(7,)], "x int")
+    empty = _folder("t")
+    os.makedirs(empty)
+    assert [r.x for r in sinks.write_model_table(want, empty).collect()] == [7]
+    foreign = _folder("t")
+    spark.createDataFrame([("a", 1.5)] * 3, "p string, q double").write.parquet(foreign)
+    assert [r.x for r in sinks.write_model_table(want, foreign).collect()] == [7]
+    # a version that was written but never entered in the log
+    half = _folder("t")
+    spark.createDataFrame([(0,)], "x int").write.parquet(f"{half}/v-dead")
+    assert [r.x for r in sinks.write_model_table(want, half).collect()] == [7]
+    try:
+        sinks.read_model_table(spark, _folder("nothing"))
+    except FileNotFoundError:
+        pass
+    else:
+        raise AssertionError("a missing table was read")
+
+
+def test_kept_models_follow_date_and_config(spark):
+    tables, folder = derive_billing_tables(spark, SF_SMALL), _folder("models")
+
+    def last_month(as_of, config=None, **kw):
+        t = tables if config is None else dataclasses.replace(tables, product_config=config)
+        ms = ModelSet(t, as_of, materialize=["revenue", "monthly_arr"], folder=folder,
+                      force=False, **kw)
+        return ms, ms.model("monthly_arr").agg(F.max("month")).first()[0]
+
+    _, early = last_month(dt.date(2000, 3, 15))
+    assert early == dt.date(2000, 3, 1)
+    ms, late = last_month(AS_OF_TEST)
+    assert late == AS_OF_TEST.replace(day=1)
+    again, _ = last_month(AS_OF_TEST)
+    assert sinks._finished(spark, again.table_path("revenue"))[-1]["number"] == 2  # kept
+    other = tables.product_config.withColumn("is_main_product", F.lit(False))
+    none, _ = last_month(AS_OF_TEST, other)
+    assert sinks._finished(spark, none.table_path("revenue"))[-1]["number"] == 3
+    assert none.model("revenue").count() < ms.model("revenue").count()  # fewer main products
+
+
+def test_only_updated_models_are_persisted(spark):
+    tables, folder = derive_billing_tables(spark, SF_SMALL), _folder("models")
+
+    def build(**kw):
+        ms = ModelSet(tables, AS_OF_TEST, materialize=["stg_customer"], folder=folder, **kw)
+        return ms, ms.model("stg_customer")
+
+    ms, df = build(cache=True)
+    assert not ms.persisted and not df.is_cached      # new: stored, not persisted
+    ms, df = build(cache=True)
+    assert ms.persisted == {"stg_customer"} and df.is_cached
+    ms.close()
+    assert not df.is_cached
+    ms, df = build(cache=False)
+    assert not ms.persisted and not df.is_cached
 
 
 def test_cache_and_uncache(spark):
@@ -35,7 +114,7 @@ def test_csv_export_keeps_labels_verbatim(spark):
         [(dt.date(2001, 1, 1), "Q1 2001", "Trialer % Quarterly growth ", None),
          (dt.date(2001, 1, 1), "Q1 2001", "New ARR", 1.5)],
         "quarter date, quarter_name string, metric string, value double")
-    back = sorted(sinks.export_csv(df, path).collect(), key=lambda r: r.metric)
+    back = sorted(sinks.export_csv(df, path, single_file=True).collect(), key=lambda r: r.metric)
     assert [r.metric for r in back] == ["New ARR", "Trialer % Quarterly growth "]
     assert back[1].value is None and back[0].value == 1.5
     assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
@@ -46,8 +125,26 @@ def test_build_until_and_adhoc_sql(spark):
                   materialize=["revenue"])
     arr = ms.build_until("monthly_arr")
     assert set(ms._built) == {"stg_customer", "stg_subscription_item", "stg_subscription",
-                              "revenue", "monthly_arr"}
+                              "revenue", "customer_months", "monthly_arr"}
     n = ms.adhoc_sql("select count(*) as n from monthly_arr").collect()[0].n
     assert n == arr.count() > 0
     # the materialised model is a plain Parquet table in the checkpoint folder
-    assert spark.read.parquet(ms.table_path("revenue")).count() == ms.model("revenue").count()
+    stored = sinks.read_model_table(spark, ms.table_path("revenue"))
+    assert stored.count() == ms.model("revenue").count()
+    folder = os.path.dirname(ms.table_path("revenue"))
+    ms.close()
+    assert not os.path.exists(folder)
+
+
+def test_adhoc_sql_in_any_case_and_without_clobbering(spark):
+    ms = ModelSet(derive_billing_tables(spark, SF_SMALL), AS_OF_TEST)
+    spark.createDataFrame([(42,)], "mine int").createOrReplaceTempView("monthly_customers")
+    try:
+        df = ms.adhoc_sql("select *, 'stg_tier' as s -- quarterly_arr\nfrom Monthly_Customers")
+        assert df.count() == ms.model("monthly_customers").count()
+        assert "stg_tier" not in ms._built and "quarterly_arr" not in ms._built
+        assert spark.table("monthly_customers").columns == ["mine"]
+        assert ms.adhoc_sql("select count(*) c from RAW_tier").first().c == ms.tables.tier.count()
+        assert not spark.catalog.tableExists("raw_tier")
+    finally:
+        spark.catalog.dropTempView("monthly_customers")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import billing, collect_sorted, ts
+from conftest import billing, ts
 
 from tallyspark.operators import staging
 
@@ -28,13 +28,12 @@ def _items(qs):
              "created": ts(2000, 1, 1)} for q in qs]
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_tier_amounts_at_bounds_and_flat_zero(spark, broadcast):
+def test_tier_amounts_at_bounds_and_flat_zero(spark):
     t = billing(spark, price=[_price("p1")], tier=TIERS,
                 product=[{"id": "prod_a", "name": "A"}],
                 subscription_item=_items([None, 0, 5, 10, 11, 25, 26, 40]))
     out = staging.stg_subscription_item(t.subscription_item, t.price, t.product,
-                                        t.product_config, t.tier, broadcast_prices=broadcast)
+                                        t.product_config, t.tier)
     got = {r["price_quantity"]: r["price_amount"] for r in out.collect()}
     # q=10 exactly on the bound: whole first tier only (tier 2 not reached)
     # q in (10, 25]: first tier + flat 0; q above 25: + (q-25) * 1.00
@@ -42,8 +41,7 @@ def test_tier_amounts_at_bounds_and_flat_zero(spark, broadcast):
                    26: 51.0, 40: 65.0}
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_per_unit_counted_once_per_tier_row_and_unknown_scheme(spark, broadcast):
+def test_per_unit_counted_once_per_tier_row_and_unknown_scheme(spark):
     prices = [_price("pu", "per_unit", unit=250), _price("pt", "per_unit", unit=100),
               _price("px", "odd")]
     tiers = [{"id": "pt", "index": i, "up_to": None, "unit_amount": 1} for i in range(2)]
@@ -51,20 +49,21 @@ def test_per_unit_counted_once_per_tier_row_and_unknown_scheme(spark, broadcast)
              {"id": "c", "quantity": 3, "plan_id": "px"}, {"id": "d", "quantity": 3, "plan_id": "zz"}]
     t = billing(spark, price=prices, tier=tiers, subscription_item=items)
     out = staging.stg_subscription_item(t.subscription_item, t.price, t.product,
-                                        t.product_config, t.tier, broadcast_prices=broadcast)
+                                        t.product_config, t.tier)
     got = {r["id"]: r["price_amount"] for r in out.collect()}
     assert got == {"a": 7.5, "b": 6.0, "c": None, "d": None}
 
 
-def test_two_paths_agree_on_derived_data(spark):
-    from conftest import SF_SMALL
-
-    from tallyspark.sources import derive_billing_tables
-    t = derive_billing_tables(spark, SF_SMALL)
-    args = (t.subscription_item, t.price, t.product, t.product_config, t.tier)
-    a = staging.stg_subscription_item(*args, broadcast_prices=True)
-    b = staging.stg_subscription_item(*args, broadcast_prices=False)
-    assert collect_sorted(a, "id") == collect_sorted(b, "id")
+def test_repeated_and_missing_item_ids(spark):
+    """Amounts are summed per item id and joined back by id: lines that share an id share
+    the sum, a line without an id has no amount, whatever the size of the tables."""
+    items = [{"id": "a", "quantity": 3, "plan_id": "pu"}, {"id": "a", "quantity": 5, "plan_id": "pu"},
+             {"id": None, "quantity": 2, "plan_id": "pu"}, {"id": "b", "quantity": 1, "plan_id": None}]
+    t = billing(spark, price=[_price("pu", "per_unit", unit=250)], subscription_item=items)
+    out = staging.stg_subscription_item(t.subscription_item, t.price, t.product,
+                                        t.product_config, t.tier)
+    got = sorted((str(r["id"]), r["price_quantity"], r["price_amount"]) for r in out.collect())
+    assert got == [("None", 2, None), ("a", 3, 20.0), ("a", 5, 20.0), ("b", 1, None)]
 
 
 def test_product_config_wins_only_for_joined_product(spark):
