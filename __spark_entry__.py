@@ -37,7 +37,7 @@ try:
     import corpus_pipeline
     from tallyspark.llm import queries as llm_queries
 except ImportError as e:
-    if (e.name or "").split(".")[0] not in ("corpus_pipeline", "tallyspark"):
+    if e.name not in ("corpus_pipeline", "tallyspark.llm"):
         raise
     corpus_pipeline = llm_queries = None
 
