@@ -11,6 +11,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.plans.sinks import delete_folder
 from tallyspark.session import checkpoint_dir, ensure_session_conf
 
 
@@ -57,9 +58,21 @@ def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*[f"_c{i}" for i in range(len(df.columns))]), names
 
 
+_MADE: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder of the session."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return f"{folder}/{name}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this application's operators have written. To be
+    called once their results have been consumed (results read these tables)."""
+    for folder in _MADE.pop(spark.sparkContext.applicationId, []):
+        delete_folder(spark, folder)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
