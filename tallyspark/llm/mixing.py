@@ -16,14 +16,14 @@ from tallyspark.llm.common import pick, positional, stored
 PER_DOMAIN = 3_000       # labelled rows of each domain that fit the classifier (bound)
 VOCABULARY = 2_048       # words the classifier looks at (bound)
 MIN_DOCUMENTS = 4
-ITERATIONS = 25
+ITERATIONS = 40
 STEPS = 60               # projected-gradient steps, at most
 RIDGE = 1e-6             # weight of changing the rates, beside missing the targets
 TOLERANCE = 1e-4         # relative miss of a domain's target at which the steps end
 DECIMALS = 3             # of a posterior: equal ones share a row while rates are fitted
 
 #: Target share of the token total for each domain.
-TARGETS = {"clean": 0.94, "junk": 0.03, "toxic": 0.03}
+TARGETS = {"clean": 0.90, "junk": 0.04, "toxic": 0.06}
 SYMBOLS = "#*$%&|<>"
 
 
@@ -64,12 +64,22 @@ def _bag_batches(batches):
 
 
 class DomainModel:
-    """Posteriors of the domains, from a text's words in a fixed vocabulary."""
+    """Posteriors of the domains, from a text's words in a fixed vocabulary. A word counts by
+    its rarity (so that a few telling words outweigh common ones); rows have norm one."""
 
-    def __init__(self, domains: list[str], vocab: dict[str, int], weights: np.ndarray):
-        self.domains, self.vocab, self.weights = domains, vocab, weights
+    def __init__(self, domains: list[str], vocab: dict[str, int], rarity: np.ndarray,
+                 weights: np.ndarray):
+        self.domains, self.vocab, self.rarity, self.weights = domains, vocab, rarity, weights
         self.words = frozenset(vocab)
 
+    def values(self, idx: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Values of the words of many rows that lie one after another."""
+        val = self.rarity[idx]
+        ends = np.cumsum(sizes)
+        squares = np.concatenate([[0.0], np.cumsum(val * val)])
+        norms = np.sqrt(np.maximum(squares[ends] - squares[ends - sizes], 1e-12))
+        return val / np.repeat(norms, sizes)
+
     def row(self, found) -> np.ndarray:
         at = sorted(self.vocab[w] for w in self.words.intersection(found))
         return np.array(at, np.int32)
@@ -82,8 +92,7 @@ class DomainModel:
             tokens.append(n)
         sizes = np.fromiter(map(len, rows), np.int64, len(rows))
         idx = np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int64)
-        val = np.repeat(1 / np.sqrt(np.maximum(sizes, 1)), sizes)
-        p = linear.softmax(linear.scores(sizes, idx, val, self.weights))
+        p = linear.softmax(linear.scores(sizes, idx, self.values(idx, sizes), self.weights))
         return _rounded(p), tokens
 
 
@@ -116,7 +125,7 @@ def learn_domains(docs: DataFrame, domains: DataFrame, names: list[str],
     n = sum(sizes.values())
     flat = np.zeros((1, len(names)))
     if not n:
-        return DomainModel(names, {}, flat)
+        return DomainModel(names, {}, np.zeros(1), flat)
     words = bags.select("domain", F.explode("words").alias("w")).groupBy("w").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("domain") == d).alias(f"n_{i}")
                                         for i, d in enumerate(names)])
@@ -124,22 +133,24 @@ def learn_domains(docs: DataFrame, domains: DataFrame, names: list[str],
     for i, d in enumerate(names):
         want = F.col("n") * (sizes.get(d, 0) / n)
         chi2 = chi2 + F.when(want > 0, F.pow(F.col(f"n_{i}") - want, F.lit(2)) / want).otherwise(0.0)
-    best = (words.where(F.col("n") >= MIN_DOCUMENTS).select("w", chi2.alias("chi2"))
+    best = (words.where(F.col("n") >= MIN_DOCUMENTS).select("w", "n", chi2.alias("chi2"))
             .orderBy(F.desc("chi2"), "w").limit(vocabulary).collect())
-    vocab = {w: i for i, w in enumerate(sorted({r["w"] for r in best} | {"\0any"}))}
-    model = DomainModel(names, vocab, np.zeros((len(vocab), len(names))))
+    seen = {r["w"]: r["n"] for r in best} | {"\0any": n}
+    vocab = {w: i for i, w in enumerate(sorted(seen))}
+    rarity = np.array([1.0 if w == "\0any" else np.log((n + 1) / seen[w]) for w in sorted(seen)])
+    model = DomainModel(names, vocab, rarity, np.zeros((len(vocab), len(names))))
     total = sum(shares.get(d, 0) for d in names) or 1
     weight = {d: (shares.get(d, 0) / total) / (sizes[d] / n) for d in sizes}
 
     def rows(batches):
         for b in batches:
             at = [model.row(w) for w in b.column("words").to_pylist()]
+            val = [model.values(a, np.array([len(a)])) for a in at]
             want = [[weight[d] if d == x else 0.0 for x in names]
                     for d in b.column("domain").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at, pa.list_(pa.int32())),
-                 pa.array([np.full(len(a), 1 / max(len(a), 1) ** 0.5) for a in at],
-                          pa.list_(pa.float64())), pa.array(want, pa.list_(pa.float64()))],
+                 pa.array(val, pa.list_(pa.float64())), pa.array(want, pa.list_(pa.float64()))],
                 ["idx", "val", "want"])
 
     fitted = stored(bags.mapInArrow(rows, "idx array<int>, val array<double>, want array<double>"),

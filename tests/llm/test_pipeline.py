@@ -29,7 +29,7 @@ def test_stages_in_order(spark, docs, labels):
             for r in rows[name]:
                 assert not blob_ledger.scan(r.text, blob_ledger.BASE_RULES[1])
         else:
-            want = [r.doc_id for r in mixing.mix(before, labels).collect()
+            want = [r.doc_id for r in mixing.mix(before, labels, cp.TARGETS).collect()
                     for _ in range(r.copies)]
         assert sorted(r.doc_id for r in rows[name]) == sorted(want)
     whole = cp.run(spark, SF).collect()
