@@ -41,6 +41,7 @@ class BlockMaxIndex:
         order = (np.lexsort((np.arange(len(examples)), examples.argmax(axis=1)))
                  if len(examples) else np.zeros(0, int))
         self.examples = np.ascontiguousarray(examples[order])
+        self.by_term = np.ascontiguousarray(self.examples.T)
         self.toxic, self.weight = toxic[order], weight[order]
         self.ids = [ids[i] for i in order]
         n_blocks = -(-len(order) // block)
@@ -58,27 +59,32 @@ class BlockMaxIndex:
         w = (1 + np.log(tf)) * self.idf[at]
         return at, (w / np.linalg.norm(w)).astype(np.float32)
 
+    def _cosines(self, blocks: np.ndarray, at: np.ndarray, w: np.ndarray):
+        rows = (blocks[:, None] * self.block + np.arange(self.block)[None, :]).ravel()
+        rows = rows[rows < len(self.examples)]
+        return rows, w @ self.by_term[np.ix_(at, rows)]
+
     def search(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS):
         """The ``k`` examples of highest cosine above zero (ties: the earlier), and the number
-        of blocks that were opened."""
+        of blocks that were opened. The blocks of the highest bounds come first; their k-th
+        best cosine decides which other blocks can matter, and those are opened together."""
         if not len(at) or not len(self.examples):
             return np.zeros(0, np.int64), np.zeros(0, np.float32), 0
         bounds = w @ self.maxima[at]
         order = np.argsort(-bounds, kind="stable")
-        where, cos, opened = np.zeros(0, np.int64), np.zeros(0, np.float32), 0
-        for b in order.tolist():
+        order = order[bounds[order] > 0]
+        lead = -(-k // self.block) + 1
+        where, cos = self._cosines(order[:lead], at, w)
+        rest = order[lead:]
+        if len(rest):
             # float sums of one bound and one cosine can differ in their last digits
-            if bounds[b] <= 0 or (len(cos) >= k and bounds[b] < cos[k - 1] - 1e-5):
-                break
-            opened += 1
-            lo = b * self.block
-            got = self.examples[lo:lo + self.block][:, at] @ w
-            where = np.concatenate([where, np.arange(lo, lo + len(got))])
-            cos = np.concatenate([cos, got])
-            best = np.lexsort((where, -cos))[:k]
-            where, cos = where[best], cos[best]
-        hit = cos > 0
-        return where[hit], cos[hit], opened
+            least = np.partition(cos, len(cos) - k)[-k] - 1e-5 if len(cos) >= k else 0.0
+            rest = rest[bounds[rest] >= least]
+            more, more_cos = self._cosines(rest, at, w)
+            where, cos = np.concatenate([where, more]), np.concatenate([cos, more_cos])
+        best = np.lexsort((where, -cos))[:k]
+        best = best[cos[best] > 0]
+        return where[best], cos[best], min(lead, len(order)) + len(rest)
 
     def vote(self, where, cos, prior: float, prior_weight: float = PRIOR_WEIGHT) -> float:
         """Share of toxic among the neighbours, weighted by closeness; the prior weighs in."""
