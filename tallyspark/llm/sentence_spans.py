@@ -139,6 +139,9 @@ def remove_repeated_spans(docs: DataFrame, least: int = RUN_SENTENCES,
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "tag", "i")
     first = (found.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").select(F.col("h").alias("_h"), "first"))
+    # a table of its own: else the join would share the aggregate's stage, and a hot run
+    # could not be split
+    first = stored(first, "repeated")
     later = (found.join(first, F.col("h") == F.col("_h")).where(place != F.col("first"))
              .groupBy("doc_id", "tag").agg(F.collect_set(F.struct("i", "j")).alias("spans")))
     later = stored(later, "spans").withColumnRenamed("doc_id", "_d").withColumnRenamed("tag", "_t")
