@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ PICKED = 2             # k-mers that one component selects
 COMPONENTS = 64        # components of a signature
 SEED = 1_729
 CHUNK = 1 << 12        # k-mers ranked at once (bounded memory for long texts)
-BUCKET_BYTES = 24 << 20  # text that one ordered bucket of documents should hold
+BUCKET_BYTES = 8 << 20   # text that one ordered bucket of documents should hold
+MAX_BUCKETS = 50_000     # bounds that the driver handles; beyond that, buckets get larger
 
 _DRAW = np.random.default_rng(SEED)
 _XOR = _DRAW.integers(0, 1 << 32, COMPONENTS, dtype=np.uint32)
@@ -159,6 +161,14 @@ def _compare_batches(k, most=512):
     return run
 
 
+def _bucket_of(bounds: np.ndarray):
+    """Range i holds the ids from bounds[i - 1] up to below bounds[i]."""
+    @F.pandas_udf("long")
+    def bucket(key: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, key.to_numpy(), side="right").astype(np.int64))
+    return bucket
+
+
 def edit_neighbours(docs: DataFrame, k: int = K, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next)``, one row per document row.
@@ -176,15 +186,12 @@ def edit_neighbours(docs: DataFrame, k: int = K, bucket_bytes: int = BUCKET_BYTE
     # ids in order; null stands before all
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     size = d.agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("n")).first()
-    n = max(1, -(-(size["chars"] or 0) // bucket_bytes))
-    bounds = []
+    n = min(MAX_BUCKETS, max(1, -(-(size["chars"] or 0) // bucket_bytes)))
+    bucket = F.lit(0).cast("long")
     if n > 1:
         shares = [i / n for i in range(1, n)]
-        bounds = sorted(set(d.agg(F.percentile_approx(key, shares, 10_000)).first()[0]))
-    # range i holds the ids from bounds[i - 1] up to below bounds[i]
-    cuts = F.array(*[F.lit(x) for x in bounds]).cast("array<long>")
-    bucket = F.size(F.filter(cuts, lambda c: c <= key)).cast("long") if bounds else F.lit(0).cast(
-        "long")
+        bounds = np.unique(d.agg(F.percentile_approx(key, shares, max(10_000, 20 * n))).first()[0])
+        bucket = _bucket_of(bounds)(key)
     # the first row of each range, and the range that it follows (one row a range)
     firsts = [(r["bucket"], r["key"]) for r in d.groupBy(bucket.alias("bucket")).agg(
         F.min(key).alias("key")).orderBy("bucket").collect()]
