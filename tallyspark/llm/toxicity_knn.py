@@ -1,7 +1,9 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max index."""
+"""Toxicity by nearest labelled examples: exact cosine of class-weighted TF-IDF over all terms
+of the examples, by posting lists and block maxima."""
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -14,10 +16,9 @@ from pyspark.sql import functions as F
 from tallyspark.llm.common import crc_fold, pick, stored
 
 PER_CLASS = 4_000        # labelled rows of each class that shape and fill the index (bound)
-VOCABULARY = 1_024       # terms of the index, those that tell the classes apart best (bound)
-MIN_DOCUMENTS = 4        # labelled rows that a term has to occur in
-MIN_CHI2 = 20.0          # strength that a term has to have
 BLOCK = 64               # examples of a block of the index
+LONG_LIST = 8            # a term of more than 1/8 of the examples has its postings in full rows
+TOGETHER = 256           # texts that are searched together
 NEIGHBOURS = 15
 PRIOR_WEIGHT = 0.5       # weight of the class share beside the neighbours' votes
 TERM = re.compile(r"[^\W\d_]+")
@@ -28,63 +29,155 @@ def terms(text: str | None) -> list[str]:
 
 
 # ------------------------------------------------------------------------- index
+@dataclass
+class Sparse:
+    """Rows of (column, value), one after another; row i is ``start[i]:start[i + 1]``."""
+
+    start: np.ndarray
+    at: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]]) -> "Sparse":
+        start = np.cumsum([0, *[len(at) for at, _ in rows]])
+        return cls(start, np.concatenate([np.zeros(0, np.int32), *[at for at, _ in rows]]),
+                   np.concatenate([np.zeros(0, np.float32), *[v for _, v in rows]]))
+
+    def spans(self, rows: np.ndarray):
+        """Places of all entries of the rows, and how many each row has."""
+        n = self.start[rows + 1] - self.start[rows]
+        ends = np.cumsum(n)
+        return np.arange(ends[-1] if len(n) else 0) + np.repeat(self.start[rows] - (ends - n), n), n
+
+    def turned(self, columns: int) -> "Sparse":
+        """The same entries by column, the rows of each column in order."""
+        order = np.argsort(self.at, kind="stable")
+        row = np.repeat(np.arange(len(self.start) - 1, dtype=np.int32), np.diff(self.start))
+        return Sparse(np.concatenate([[0], np.cumsum(np.bincount(self.at, minlength=columns))]),
+                      row[order], self.value[order])
+
+
 class BlockMaxIndex:
-    """Examples as unit TF-IDF vectors, in blocks; each block has the largest weight that any
-    of its examples gives to a term. A query's sum over these maxima bounds the cosine of
-    every example in the block, so blocks are opened in falling order of their bounds until
-    the next bound is below the k-th best cosine: the result is exact."""
-
-    def __init__(self, vocab: dict[str, int], idf: np.ndarray, examples: np.ndarray,
-                 toxic: np.ndarray, weight: np.ndarray, ids: list, block: int = BLOCK):
-        self.vocab, self.idf, self.block = vocab, idf, block
+    """Examples as unit vectors in posting lists by term, and in blocks.
+
+    A list of up to 1/8 of the examples is scored posting by posting. The longer lists (most
+    of the work) are kept in full rows, block by block, with the largest weight that any
+    example of the block gives to the term: what a block's examples have from the short lists,
+    and the query's sum over these maxima, bound their cosines. Blocks are opened in falling
+    order of the bounds until the next bound is below the k-th best cosine: the result is
+    exact. ``unseen`` is the idf of a term that no example has (it lengthens the query)."""
+
+    def __init__(self, vocab: dict[str, int], idf: np.ndarray, examples: np.ndarray | Sparse,
+                 toxic: np.ndarray, weight: np.ndarray, ids: list, block: int = BLOCK,
+                 unseen: float = 0.0):
+        self.vocab, self.idf, self.block, self.unseen = vocab, idf, block, unseen
+        if isinstance(examples, np.ndarray):
+            examples = Sparse.of([(np.flatnonzero(x).astype(np.int32), x[x != 0])
+                                  for x in examples])
+        rows = [(examples.at[s:e], examples.value[s:e])
+                for s, e in zip(examples.start[:-1], examples.start[1:], strict=True)]
         # like examples share blocks: ordered by their heaviest term, then by id
-        order = (np.lexsort((np.arange(len(examples)), examples.argmax(axis=1)))
-                 if len(examples) else np.zeros(0, int))
-        self.examples = np.ascontiguousarray(examples[order])
-        self.by_term = np.ascontiguousarray(self.examples.T)
+        order = np.argsort([at[v.argmax()] if len(at) else -1 for at, v in rows], kind="stable")
+        order = order.astype(int)
+        self.rows = Sparse.of([rows[i] for i in order])
         self.toxic, self.weight = toxic[order], weight[order]
         self.ids = [ids[i] for i in order]
-        n_blocks = -(-len(order) // block)
-        self.maxima = np.zeros((len(idf), n_blocks), np.float32)
+        self.size = len(order)
+        self.postings = self.rows.turned(len(idf))
+        n_blocks = -(-self.size // block)
+        long = np.flatnonzero(np.diff(self.postings.start) * LONG_LIST > self.size)
+        self.column = np.full(len(idf), -1)
+        self.column[long] = np.arange(len(long))
+        self.full = np.zeros((n_blocks * block, len(long)), np.float32)
+        at, n = self.postings.spans(long)
+        self.full[self.postings.at[at], np.repeat(np.arange(len(long)), n)] = (
+            self.postings.value[at])
+        self.maxima = np.zeros((len(long), n_blocks), np.float32)
         for b in range(n_blocks):
-            self.maxima[:, b] = self.examples[b * block:(b + 1) * block].max(axis=0)
+            self.maxima[:, b] = self.full[b * block:(b + 1) * block].max(axis=0)
+
+    @property
+    def examples(self) -> np.ndarray:
+        """The examples in one matrix (for tests)."""
+        out = np.zeros((self.size, len(self.idf)), np.float32)
+        out[np.repeat(np.arange(self.size), np.diff(self.rows.start)), self.rows.at] = (
+            self.rows.value)
+        return out
 
     def vector(self, words: list[str]):
-        """Term numbers and unit weights of a text's terms in the vocabulary."""
-        found = Counter(t for t in map(self.vocab.get, words) if t is not None)
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.float32)
-        at = np.fromiter(found, np.int64, len(found))
-        tf = np.fromiter(found.values(), np.float64, len(found))
-        w = (1 + np.log(tf)) * self.idf[at]
-        return at, (w / np.linalg.norm(w)).astype(np.float32)
-
-    def _cosines(self, blocks: np.ndarray, at: np.ndarray, w: np.ndarray):
-        rows = (blocks[:, None] * self.block + np.arange(self.block)[None, :]).ravel()
-        rows = rows[rows < len(self.examples)]
-        return rows, w @ self.by_term[np.ix_(at, rows)]
+        """Numbers, in order, and weights of a text's terms that examples have. The weights are
+        those of the unit vector of all its terms."""
+        found = Counter(words)
+        at = np.fromiter((self.vocab.get(t, -1) for t in found), np.int64, len(found))
+        tf = 1 + np.log(np.fromiter(found.values(), np.float64, len(found)))
+        known = at >= 0
+        beyond = np.square(tf[~known] * self.unseen).sum()
+        at, tf = at[known], tf[known]
+        order = np.argsort(at)
+        at = at[order]
+        w = tf[order] * self.idf[at]
+        norm = np.sqrt(w @ w + beyond)
+        return at, (w / (norm or 1.0)).astype(np.float32)
+
+    def search_together(self, queries: list, k: int = NEIGHBOURS) -> list[tuple]:
+        """For each ``(at, w)`` the ``k`` examples of highest cosine above zero (ties: the
+        earlier), their cosines, and the number of blocks whose long lists were opened."""
+        if not self.size:
+            return [(np.zeros(0, np.int64), np.zeros(0, np.float32), 0) for _ in queries]
+        n_blocks, block = self.maxima.shape[1], self.block
+        sums = np.zeros((len(queries), n_blocks * block), np.float32)
+        asked = np.zeros((len(queries), len(self.maxima)), np.float32)
+        for q, (at, w) in enumerate(queries):
+            column = self.column[at]
+            is_long = column >= 0
+            asked[q, column[is_long]] = w[is_long]
+            places, n = self.postings.spans(at[~is_long])
+            if len(places):
+                sums[q] = np.bincount(self.postings.at[places], minlength=sums.shape[1],
+                                      weights=self.postings.value[places] * np.repeat(
+                                          w[~is_long], n))
+        bounds = sums.reshape(len(queries), n_blocks, block).max(axis=2) + asked @ self.maxima
+
+        def open_blocks(mask):
+            for b in np.flatnonzero(mask.any(axis=0)):
+                own, part = np.flatnonzero(mask[:, b]), slice(b * block, (b + 1) * block)
+                sums[own, part] += asked[own] @ self.full[part].T
+
+        lead = min(-(-k // block) + 1, n_blocks)
+        first = np.argsort(-bounds, axis=1, kind="stable")[:, :lead]
+        opened = np.zeros(bounds.shape, bool)
+        np.put_along_axis(opened, first, True, axis=1)
+        opened &= bounds > 0
+        open_blocks(opened)
+        # the k-th best so far; float sums of one bound and one cosine can differ in their
+        # last digits
+        led = np.take_along_axis(sums.reshape(len(queries), n_blocks, block),
+                                 first[:, :, None], axis=1).reshape(len(queries), -1)
+        least = np.zeros(len(queries), np.float32)
+        if led.shape[1] >= k:
+            least = np.partition(led, led.shape[1] - k, axis=1)[:, -k] - 1e-5
+        rest = ~opened & (bounds >= least[:, None]) & (bounds > 0)
+        open_blocks(rest)
+        out, dense = [], np.zeros(len(self.idf))
+        for q, (at, w) in enumerate(queries):
+            where = np.flatnonzero((sums[q] >= least[q]) & (sums[q] > 0))
+            if len(where) > k:
+                near = sums[q, where]
+                where = where[near >= np.partition(near, len(near) - k)[-k] - 1e-5]
+            # the cosines of those few once more, in an order that no other query has a part in
+            dense[at] = w
+            places, n = self.rows.spans(where)
+            cos = np.bincount(np.repeat(np.arange(len(where)), n), minlength=len(where),
+                              weights=dense[self.rows.at[places]] * self.rows.value[places])
+            dense[at] = 0.0
+            cos = cos.astype(np.float32)
+            best = np.lexsort((where, -cos))[:k]
+            best = best[cos[best] > 0]
+            out.append((where[best], cos[best], int(opened[q].sum() + rest[q].sum())))
+        return out
 
     def search(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS):
-        """The ``k`` examples of highest cosine above zero (ties: the earlier), and the number
-        of blocks that were opened. The blocks of the highest bounds come first; their k-th
-        best cosine decides which other blocks can matter, and those are opened together."""
-        if not len(at) or not len(self.examples):
-            return np.zeros(0, np.int64), np.zeros(0, np.float32), 0
-        bounds = w @ self.maxima[at]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        lead = -(-k // self.block) + 1
-        where, cos = self._cosines(order[:lead], at, w)
-        rest = order[lead:]
-        if len(rest):
-            # float sums of one bound and one cosine can differ in their last digits
-            least = np.partition(cos, len(cos) - k)[-k] - 1e-5 if len(cos) >= k else 0.0
-            rest = rest[bounds[rest] >= least]
-            more, more_cos = self._cosines(rest, at, w)
-            where, cos = np.concatenate([where, more]), np.concatenate([cos, more_cos])
-        best = np.lexsort((where, -cos))[:k]
-        best = best[cos[best] > 0]
-        return where[best], cos[best], min(lead, len(order)) + len(rest)
+        return self.search_together([(at, w)], k)[0]
 
     def vote(self, where, cos, prior: float, prior_weight: float = PRIOR_WEIGHT) -> float:
         """Share of toxic among the neighbours, weighted by closeness; the prior weighs in."""
@@ -100,11 +193,6 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
 
-    def raw(self, words):
-        at, w = self.index.vector(words)
-        where, cos, _ = self.index.search(at, w)
-        return self.index.vote(where, cos, self.prior), where, cos
-
     def score(self, vote: float) -> float:
         z = np.log((vote + 1e-3) / (1 - vote + 1e-3))
         return float(1 / (1 + np.exp(-(self.slope * z + self.shift))))
@@ -160,13 +248,41 @@ def labelled_bags(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
         _bag_batches, "doc_id long, toxic int, terms array<string>, counts array<int>")
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
-          vocabulary: int = VOCABULARY) -> Model:
-    """Vocabulary, index and calibration from a bounded labelled sample.
+def _count_batches(sent):
+    def run(batches):
+        vocab = sent.value
+        counts, rows = np.zeros(len(vocab), np.int64), 0
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                at = [i for i in map(vocab.get, set(terms(t))) if i is not None]
+                counts[at] += 1
+                rows += 1
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(counts[at], rows))],
+            ["i", "n"])
+    return run
 
-    The vocabulary are the terms whose presence tells the classes apart best (chi-squared),
-    counted by Spark over the sample. Equal vectors become one example with a share of toxic
-    rows. Half of the sample's rows (by a hash of the id) are examples while the curve is
+
+def document_frequencies(docs: DataFrame, vocab: dict[str, int]) -> tuple[np.ndarray, int]:
+    """In how many rows of the whole table each term occurs, and the number of rows."""
+    sent = docs.sparkSession.sparkContext.broadcast(vocab)
+    got = (pick(docs, "text").mapInArrow(_count_batches(sent), "i int, n long")
+           .groupBy("i").agg(F.sum("n").alias("n")).toArrow())
+    at, n = got.column("i").to_numpy(), got.column("n").to_numpy()
+    out = np.zeros(len(vocab), np.int64)
+    out[at[at >= 0]] = n[at >= 0]
+    return out, int(n[at < 0].sum())
+
+
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
+    """Term weights, index and calibration from a bounded labelled sample.
+
+    Every term of every sampled row is in the index. Its weight is its idf, from the document
+    frequencies that Spark counts over the whole table, times ``1 + ln(1 + chi2)``, where chi2
+    says how well its presence tells the sample's classes apart: no term weighs less than its
+    idf. Every sampled row is an example; equal vectors become one example with a share of
+    toxic rows. Half of the sample's rows (by a hash of the id) are examples while the curve is
     fitted on the votes for the other half; then all rows become examples.
     """
     bags = stored(labelled_bags(docs, labels, per_class), "bags").dropDuplicates(["doc_id"])
@@ -180,34 +296,33 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
         return Model(BlockMaxIndex({}, np.zeros(0), np.zeros((0, 0), np.float32), np.zeros(0),
                                    np.zeros(0), []), prior)
     n = n0 + n1
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    chi2 = (n * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2))
-            / (F.lit(float(n0) * n1) * (a + b) * (n - a - b + 1e-9)))
-    best = (bags.select("toxic", F.explode("terms").alias("t")).groupBy("t").agg(
+    found = (bags.select("toxic", F.explode("terms").alias("t")).groupBy("t").agg(
         F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b"))
-        .where(F.col("a") + F.col("b") >= MIN_DOCUMENTS)
-        .withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
-        .orderBy(F.desc("chi2"), "t").limit(vocabulary).collect())
-    best.sort(key=lambda r: r["t"])
-    vocab = {r["t"]: i for i, r in enumerate(best)}
-    idf = np.log((1 + n) / (1 + np.array([r["a"] + r["b"] for r in best], float)))
+        .toArrow().sort_by("t"))  # at most the terms of the sample's rows
+    vocab = {t: i for i, t in enumerate(found.column("t").to_pylist())}
+    a, b = (found.column(c).to_numpy().astype(float) for c in ("a", "b"))
+    chi2 = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (
+        float(n0) * n1 * (a + b) * (n - a - b + 1e-9))
+    frequency, whole = document_frequencies(docs, vocab)
+    idf = np.log((2 + whole) / (1 + frequency)) * (1 + np.log1p(chi2))
+    unseen = float(np.log((2 + whole) / (1 + whole / n)))  # as rare as one row of the sample
     sent = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def project(batches):
         own = sent.value
         for x in batches:
-            rows = [sorted((own[t], c) for t, c in zip(ts, cs, strict=True) if t in own)
+            rows = [sorted((own[t], c) for t, c in zip(ts, cs, strict=True))
                     for ts, cs in zip(x.column("terms").to_pylist(),
                                       x.column("counts").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [x.column("doc_id"), x.column("toxic"),
-                 pa.array([[t for t, _ in r] for r in rows], pa.list_(pa.int32())),
-                 pa.array([[c for _, c in r] for r in rows], pa.list_(pa.int32()))],
+                 *[pa.array([np.array([e[i] for e in r], np.int32).tobytes() for r in rows],
+                            pa.binary()) for i in (0, 1)]],
                 ["doc_id", "toxic", "at", "tf"])
 
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half")
-    rows = (bags.mapInArrow(project, "doc_id long, toxic int, at array<int>, tf array<int>")
-            .where(F.size("at") > 0).groupBy("at", "tf", half).agg(
+    rows = (bags.mapInArrow(project, "doc_id long, toxic int, at binary, tf binary")
+            .groupBy("at", "tf", half).agg(
                 F.min("doc_id").alias("id"), F.count_if(F.col("toxic") == 1).alias("a"),
                 F.count_if(F.col("toxic") == 0).alias("b"))
             .orderBy("id").collect())  # at most the sample's rows
@@ -215,30 +330,30 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     w1 = prior / n1 if n1 else 0.0
     w0 = (1 - prior) / n0 if n0 else 0.0
 
+    def unit(at: bytes, tf: bytes):
+        at = np.frombuffer(at, np.int32)
+        v = (1 + np.log(np.frombuffer(tf, np.int32).astype(float))) * idf[at]
+        return at, (v / (np.linalg.norm(v) or 1.0)).astype(np.float32)
+
     def build(part) -> BlockMaxIndex:
         merged: dict = {}
         for r in part:
-            m = merged.setdefault((tuple(r["at"]), tuple(r["tf"])), [r["id"], 0, 0])
+            m = merged.setdefault((bytes(r["at"]), bytes(r["tf"])), [r["id"], 0, 0])
             m[0], m[1], m[2] = min(m[0], r["id"]), m[1] + r["a"], m[2] + r["b"]
-        matrix = np.zeros((len(merged), len(idf)), np.float32)
-        toxic, weight, ids = [], [], []
-        for i, ((at, tf), (doc_id, x, y)) in enumerate(merged.items()):
-            v = (1 + np.log(np.array(tf, float))) * idf[list(at)]
-            matrix[i, list(at)] = v / (np.linalg.norm(v) or 1.0)
-            toxic.append(x * w1 / (x * w1 + y * w0))
-            weight.append(1 + np.log(x + y))
-            ids.append(doc_id)
-        return BlockMaxIndex(vocab, idf, matrix, np.array(toxic), np.array(weight), ids)
-
-    trial = Model(build([r for r in rows if r["half"] == 0]), prior)
+        toxic = [x * w1 / (x * w1 + y * w0) for _, x, y in merged.values()]
+        weight = [1 + np.log(x + y) for _, x, y in merged.values()]
+        return BlockMaxIndex(vocab, idf, Sparse.of([unit(*key) for key in merged]),
+                             np.array(toxic), np.array(weight), [m[0] for m in merged.values()],
+                             unseen=unseen)
+
+    trial = build([r for r in rows if r["half"] == 0])
     votes, y, weight = [], [], []
-    for r in rows:
-        if r["half"] == 1:
-            tf = np.array(r["tf"], float)
-            v = (1 + np.log(tf)) * idf[r["at"]]
-            where, cos, _ = trial.index.search(np.array(r["at"]), (v / (
-                np.linalg.norm(v) or 1.0)).astype(np.float32))
-            vote = trial.index.vote(where, cos, prior)
+    asked = [r for r in rows if r["half"] == 1]
+    for i in range(0, len(asked), TOGETHER):
+        part = asked[i:i + TOGETHER]
+        for r, (where, cos, _) in zip(part, trial.search_together(
+                [unit(r["at"], r["tf"]) for r in part]), strict=True):
+            vote = trial.vote(where, cos, prior)
             for label, count, w in ((1, r["a"], w1), (0, r["b"], w0)):
                 if count:
                     votes.append(vote)
@@ -256,8 +371,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, **learning) -> DataFrame
 
     ``held_out``: the id's fold is 0, so its label was not learned from (null for a null id).
     ``neighbours`` and ``cosines`` are the evidence: ids of the nearest examples. A text
-    without indexed terms, an empty or a null one gets the score of no evidence. Repeated
-    rows score alike; without labels of both classes every score is the class share.
+    that shares no term with any example, an empty or a null one has none and gets the score of
+    no evidence (``share_without_neighbours`` says how many). Repeated rows score alike; without labels of both classes every score is the class share.
     """
     model = learn(docs, labels, **learning)
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -266,20 +381,21 @@ def score_documents(docs: DataFrame, labels: DataFrame, **learning) -> DataFrame
         m = sent.value
         cache: dict = {}
         for b in batches:
-            out, near, cosines = [], [], []
-            for t in b.column(1).to_pylist():
-                at, w = m.index.vector(terms(t))
-                key = (at.tobytes(), w.tobytes())
-                if key not in cache:
-                    where, cos, _ = m.index.search(at, w)
-                    cache[key] = (m.score(m.index.vote(where, cos, m.prior)),
-                                  [m.index.ids[i] for i in where], cos.tolist())
-                    if len(cache) > 20_000:
-                        cache = {key: cache[key]}
-                s, ids, cos = cache[key]
-                out.append(s)
-                near.append(ids)
-                cosines.append(cos)
+            found = []
+            texts = b.column(1).to_pylist()
+            for i in range(0, len(texts), TOGETHER):
+                if len(cache) > 20_000:
+                    cache = {}
+                vectors = [m.index.vector(terms(t)) for t in texts[i:i + TOGETHER]]
+                keys = [hashlib.blake2b(at.tobytes() + w.tobytes(), digest_size=16).digest()
+                        for at, w in vectors]
+                fresh = {k: v for k, v in zip(keys, vectors, strict=True) if k not in cache}
+                for k, (where, cos, _) in zip(fresh, m.index.search_together(
+                        list(fresh.values())) if fresh else [], strict=True):
+                    cache[k] = (m.score(m.index.vote(where, cos, m.prior)),
+                                [m.index.ids[j] for j in where], cos.tolist())
+                found += [cache[k] for k in keys]
+            out, near, cosines = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(out, pa.float64()), pa.array(near, pa.list_(pa.int64())),
                  pa.array(cosines, pa.list_(pa.float32()))],
@@ -290,3 +406,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, **learning) -> DataFrame
     return scored.select("doc_id", (crc_fold("doc_id") == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "neighbours",
                          "cosines")
+
+
+def share_without_neighbours(scored: DataFrame) -> float:
+    """Share of the rows of ``score_documents`` that no example came near to (0 of no rows)."""
+    return float(scored.agg(F.avg((F.size("neighbours") == 0).cast("double"))).first()[0] or 0.0)

@@ -76,3 +76,25 @@ def test_edge_rows(spark, edge_docs, no_docs, labels):
     for lab in (labels.where("false"), labels.where("toxic = 0"),
                 spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")):
         assert all(0 <= r.score <= 1 for r in tk.score_documents(edge_docs, lab).collect())
+
+
+def test_copies_without_a_telling_word_are_found(spark):
+    """Every labelled row is an example with all its terms, however rare they are."""
+    rng = np.random.default_rng(7)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 7))
+    common = [word() for _ in range(40)]
+    texts = {i: " ".join([*rng.choice(common, 20), *(word() for _ in range(6))])
+             for i in range(120)}
+    copies = {1000 + i: t + " " + word() for i, t in texts.items()}
+    docs = spark.createDataFrame(list((texts | copies).items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in texts],
+                                   "doc_id long, toxic int")
+    out = tk.score_documents(docs, labels)
+    rows = {r.doc_id: r for r in out.collect()}
+    learned = [i for i in texts if fold(i) != 0]
+    for i in learned:
+        assert rows[i].neighbours[0] == i and abs(rows[i].cosines[0] - 1) < 1e-5
+        assert rows[1000 + i].neighbours[0] == i
+    toxic = [rows[1000 + i].score for i in learned if i % 4 == 0]
+    assert min(toxic) > max(rows[1000 + i].score for i in learned if i % 4)
+    assert tk.share_without_neighbours(out) == 0.0
