@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -15,35 +16,46 @@ from tallyspark.llm.common import pick, positional, stored
 
 RUN_SENTENCES = 3        # sentences of a run, at least
 RUN_WORDS = 12           # words of a run, at least (it takes in more sentences until then)
-LONG_SENTENCE = 24       # words beyond which a sentence is cut at words that its text chooses
+WINDOW = 8               # of every so many words in a row, a unit ends after one at least
 
 #: A sentence ends after . ! or ? before a blank, and at line ends.
 _END = re.compile(r"[.!?]+[\"')\]]*\s+|\n\s*")
 _WORD = re.compile(r"\S+\s*")
 
 
+def _chosen(words: list[str]) -> np.ndarray:
+    """The word of least checksum (ties: the last) in each window of ``WINDOW`` words."""
+    n = len(words) - WINDOW + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    h = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.int64,
+                    len(words))
+    least, at = h[:n].copy(), np.arange(n)
+    for s in range(1, WINDOW):
+        lower = np.flatnonzero(h[s:s + n] <= least)
+        least[lower] = h[lower + s]
+        at[lower] = lower + s
+    return np.unique(at)
+
+
 def sentences(text: str) -> list[tuple[int, int, str, int]]:
-    """``(start, end, key, words)`` of each sentence; the spans cover the text. The key is the
-    sentence in lower case with single blanks. A sentence of over ``LONG_SENTENCE`` words
-    (tables, unpunctuated prose) is cut after each word whose checksum is a multiple of 8, so
-    that equal passages are cut alike wherever they begin."""
-    out, at = [], 0
-    for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
-        if end <= at:
-            continue
-        words = text[at:end].lower().split()
-        if len(words) <= LONG_SENTENCE:
-            out.append((at, end, " ".join(words), len(words)))
-        else:
-            start, part = at, []
-            for m in _WORD.finditer(text, at, end):
-                part.append(m.group().strip().lower())
-                if zlib.crc32(part[-1].encode("utf-8", "surrogatepass")) % 8 == 0:
-                    out.append((start, m.end(), " ".join(part), len(part)))
-                    start, part = m.end(), []
-            if start < end:
-                out.append((start, end, " ".join(part), len(part)))
-        at = end
+    """``(start, end, key, words)`` of each unit; the spans cover the text. The key is the
+    unit in lower case with single blanks. A unit ends where a sentence ends, and after each
+    word that has the least checksum of any ``WINDOW`` words in a row, whatever the sentence's
+    length. Whether a word does hangs on the ``WINDOW`` - 1 words before and after it only, and
+    no unit is longer than ``WINDOW`` words (but at the text's ends), so every equal passage of
+    51 words is cut alike inside and holds a whole run, wherever it begins."""
+    words = text.lower().split()
+    ends = np.fromiter((m.end() for m in _WORD.finditer(text)), np.int64, len(words))
+    bounds = np.unique(np.concatenate([
+        np.array([m.end() for m in _END.finditer(text)], np.int64), ends[_chosen(words)],
+        [len(text)]]))
+    upto = np.searchsorted(ends, bounds, side="right").tolist()
+    out, at, first = [], 0, 0
+    for end, last in zip(bounds.tolist(), upto, strict=True):
+        if end > at:
+            out.append((at, end, " ".join(words[first:last]), last - first))
+            at, first = end, last
     return out
 
 

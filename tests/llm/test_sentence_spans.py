@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from tallyspark.llm import sentence_spans as ss
 
 
@@ -76,3 +78,22 @@ def test_columns_stay(edge_docs):
     assert out.columns == [*edge_docs.columns, "n_sentences", "n_removed"]
     clash = ss.remove_repeated_spans(edge_docs.withColumnRenamed("score", "n_removed"))
     assert clash.columns[-1] == "n_removed_"
+
+
+def test_every_passage_of_51_words_holds_a_run():
+    """Passages cut at random, with and without punctuation, put mid-sentence into two texts."""
+    rng = random.Random(5)
+    pool = [f"w{i}" for i in range(3000)]
+
+    def prose(n, stop):
+        return [w + ("." if rng.random() < stop else "") for w in rng.choices(pool, k=n)]
+
+    for stop in (0.0, 0.02, 0.04, 0.1, 0.3):
+        for _ in range(300):
+            passage = " ".join(prose(51, stop))
+            found = []
+            for _ in range(2):
+                text = " ".join([*prose(rng.randint(0, 60), stop), passage,
+                                 *prose(rng.randint(0, 60), stop)])
+                found.append({h for h, _, _ in ss.runs(ss.sentences(text))})
+            assert found[0] & found[1]
