@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 
 import numpy as np
@@ -17,7 +18,7 @@ PER_DOMAIN = 3_000       # labelled rows of each domain that fit the classifier
 VOCABULARY = 2_048       # words the classifier looks at (bound)
 MIN_DOCUMENTS = 4
 ITERATIONS = 40
-STEPS = 60               # projected-gradient steps, at most
+STEPS = 60               # scaled gradient steps, at most
 RIDGE = 1e-6             # weight of changing the rates, beside missing the targets
 TOLERANCE = 1e-4         # relative miss of a domain's target at which the steps end
 DECIMALS = 3             # of a posterior: equal ones share a row while rates are fitted
@@ -192,7 +193,8 @@ def fit_rates(members: DataFrame, targets: dict[str, float], budget: float = 1.0
     the domains over the rows whose rate is above zero, which scales the gradient so that
     domains that are hard to tell apart do not slow it down. A step that overshoots is
     halved. The steps end when every domain is within ``tolerance`` of the whole of its
-    target, or stand still at the least squares of a target that no rates meet.
+    target, or stand still at the least squares of a target that no rates meet. If they do
+    neither within ``max_steps``, a ``RuntimeWarning`` names every domain's miss.
     """
     d = len(targets)
     cols = [f"p_{i}" for i in range(d)]
@@ -230,6 +232,11 @@ def fit_rates(members: DataFrame, targets: dict[str, float], budget: float = 1.0
                 break
         else:
             step = step / 2
+    else:
+        if np.abs(miss).max() > tolerance:
+            left = ", ".join(f"{n} {m:+.6f}" for n, m in zip(targets, miss, strict=True))
+            warnings.warn(f"rates did not settle in {max_steps} steps; shares of the token total "
+                          f"off their targets: {left}", RuntimeWarning, stacklevel=2)
     return pull
 
 

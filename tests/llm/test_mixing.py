@@ -90,3 +90,14 @@ def test_edge_rows(spark, edge_docs, no_docs, labels):
     assert mx.mix(no_docs, labels).collect() == []
     assert mx.mixed_documents(no_docs, labels).collect() == []
     assert mx.mixed_documents(edge_docs, labels).columns == edge_docs.columns
+
+
+def test_unsettled_steps_are_reported(spark, recwarn):
+    rng = np.random.default_rng(4)
+    p, n = soft(rng, 300), rng.integers(0, 500, 300)
+    want = {"a": 0.1, "b": 0.1, "c": 0.8}
+    with pytest.warns(RuntimeWarning, match=r"did not settle in 1 steps.*a [+-].*b [+-].*c [+-]"):
+        mx.fit_rates(members(spark, p, n), want, max_steps=1)
+    recwarn.clear()
+    mx.fit_rates(members(spark, p, n), want)
+    assert not [w for w in recwarn if "did not settle" in str(w.message)]
