@@ -38,8 +38,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the token ids of their whole texts."""
-    return bpe_index.encode_documents(docs, tokenizer_path())
+    """Documents with the token ids of their whole texts; all ids are decoded again, and must
+    give the text."""
+    path = tokenizer_path()
+    return bpe_index.verified(bpe_index.encode_documents(docs, path), path)
 
 
 STAGES = [("quality_rules", quality_rules), ("simhash_near_dedup", near_dedup),

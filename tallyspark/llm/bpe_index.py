@@ -311,3 +311,40 @@ def encode_documents(docs: DataFrame, path: str, column: str = "token_ids") -> D
     while column in docs.columns:
         column += "_"
     return out.toDF(*docs.columns, column)
+
+
+def _decode_batches(path, at, names):
+    def run(batches):
+        vocab = _vocabulary(path)
+        for b in batches:
+            col = b.column(at)
+            ids = col.values.fill_null(-1).to_numpy().astype(np.uint32)
+            texts = [decode(vocab, ids[s:e].tobytes()) if known else None
+                     for s, e, known in zip(col.offsets[:-1].to_pylist(),
+                                            col.offsets[1:].to_pylist(),
+                                            col.is_valid().to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names)
+    return run
+
+
+def decode_documents(docs: DataFrame, path: str, ids: str = "token_ids",
+                     column: str = "decoded_text") -> DataFrame:
+    """``docs`` with one more column: the text of the token ids in the column ``ids`` (null for
+    null; an id that the vocabulary lacks raises an error)."""
+    flat, name = positional(docs)
+    schema = T.StructType([*flat.schema, T.StructField("_text", T.StringType())])
+    out = flat.mapInArrow(_decode_batches(path, flat.columns.index(name[ids]),
+                                          [*flat.columns, "_text"]), schema)
+    while column in docs.columns:
+        column += "_"
+    return out.toDF(*docs.columns, column)
+
+
+def verified(encoded: DataFrame, path: str) -> DataFrame:
+    """The rows of ``encode_documents``; one whose last column does not decode to its text (the
+    empty one for null) raises an error."""
+    flat, name = positional(decode_documents(encoded, path, encoded.columns[-1]))
+    same = F.col(flat.columns[-1]) == F.coalesce(F.col(name["text"]), F.lit(""))
+    return flat.where(F.when(same, True).otherwise(F.raise_error(F.lit(
+        "token ids do not decode to their text")).cast("boolean"))).select(
+        *flat.columns[:-1]).toDF(*encoded.columns)

@@ -74,3 +74,19 @@ def test_encode_documents_keeps_columns(edge_docs, no_docs, library):
     for r in out.collect():
         assert r["score_"] == library.encode(r.text or "", add_special_tokens=False).ids
     assert bi.encode_documents(no_docs, PATH).collect() == []
+
+
+def test_decode_documents(spark, edge_docs, no_docs):
+    encoded = bi.encode_documents(edge_docs, PATH)
+    out = bi.decode_documents(encoded, PATH, column="score")
+    assert out.columns == [*edge_docs.columns, "token_ids", "score_"]
+    assert all(r["score_"] == (r.text or "") for r in out.collect())
+    assert bi.decode_documents(bi.encode_documents(no_docs, PATH), PATH).collect() == []
+    nothing = spark.createDataFrame([(None,), ([],)], "token_ids array<int>")
+    assert {r.decoded_text for r in bi.decode_documents(nothing, PATH).collect()} == {None, ""}
+    assert sorted(map(str, bi.verified(encoded, PATH).collect())) == sorted(
+        map(str, encoded.collect()))
+    wrong = spark.createDataFrame([("other text", encoded.first().token_ids)],
+                                  "text string, token_ids array<int>")
+    with pytest.raises(Exception, match="do not decode"):
+        bi.verified(wrong, PATH).count()
