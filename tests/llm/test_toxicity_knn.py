@@ -98,3 +98,23 @@ def test_copies_without_a_telling_word_are_found(spark):
     toxic = [rows[1000 + i].score for i in learned if i % 4 == 0]
     assert min(toxic) > max(rows[1000 + i].score for i in learned if i % 4)
     assert tk.share_without_neighbours(out) == 0.0
+
+
+def test_postings_need_no_small_vocabulary():
+    """Lists by term hold the weights above zero only; a large vocabulary takes no matrix."""
+    rng = np.random.default_rng(2)
+    n, v = 400, 300_000
+    rows = []
+    for _ in range(n):
+        at = np.unique(np.append(rng.integers(3, v, 30), rng.integers(0, 3, 2))).astype(np.int32)
+        w = rng.random(len(at)).astype(np.float32)
+        rows.append((at, w / np.linalg.norm(w)))
+    index = tk.BlockMaxIndex({}, np.ones(v), tk.Sparse.of(rows), np.zeros(n), np.ones(n),
+                             list(range(n)), 16)
+    assert len(index.postings.at) == sum(len(at) for at, _ in rows)
+    assert index.full.shape == (n, 3)
+    for i, (at, w) in enumerate(rows[:40]):
+        where, cos, _ = index.search(at, w)
+        every = np.array([w @ [dict(zip(*e, strict=True)).get(t, 0.0) for t in at] for e in rows])
+        assert index.ids[where[0]] == i
+        assert np.allclose(cos, np.sort(every)[::-1][:len(cos)], atol=1e-5)
