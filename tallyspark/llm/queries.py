@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.llm import (blob_ledger, bpe_index, conversation_repair, decision_list, mixing,
-                            order_minhash, quality_em, sentence_spans, simhash_vptree,
-                            toxicity_knn, url_cascade)
+                            order_minhash, periodic_runs, quality_em, sentence_spans,
+                            simhash_vptree, toxicity_knn, url_cascade)
 from tallyspark.llm.common import read_table, scratch_path
 
 
@@ -76,9 +76,14 @@ def op12_target_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_frequency_splitting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(_documents(spark, sf_dir))
+
+
 QUERIES = (op1_weak_label_quality, op2_soft_mixing, op3_url_cascade, op4_toxicity_knn,
            op5_simhash_vptree, op6_bpe_pair_index, op7_sentence_spans, op8_order_minhash,
-           op9_decision_list, op10_blob_ledger, op12_target_alignment)
+           op9_decision_list, op10_blob_ledger, op12_target_alignment,
+           op13_frequency_splitting)
 
 
 def queries() -> dict:
