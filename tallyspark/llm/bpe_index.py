@@ -13,6 +13,7 @@ from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,9 +46,10 @@ def _patterns():
 
 WORDS, WORDS_BELOW = _patterns()
 ABOVE = re.compile("[\U00010000-\U0010ffff]")
-CACHE_WORDS = 1_000_000    # words remembered by one task; beyond this it starts anew
-GROUP_CHARS = 16 << 20     # characters of text encoded together
-BATCH_BYTES = 16 << 20     # bytes of new words that share one pair index
+CACHE_WORDS = 500_000      # words remembered by one task; beyond this it starts anew
+CACHE_BYTES = 32 << 20     # their bytes
+GROUP_CHARS = 2 << 20      # bytes of text encoded together
+BATCH_BYTES = 4 << 20      # bytes of new words that share one pair index
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -182,6 +184,7 @@ class Encoder:
             self.number[(i,)]
         self.flat = np.array(own, np.uint32)
         self.sizes = np.ones(len(own), np.int64)
+        self.load = 0
 
     def _split(self, text: str) -> list:
         find = (WORDS if ABOVE.search(text) else WORDS_BELOW).findall
@@ -203,6 +206,7 @@ class Encoder:
         for w in fresh:
             todo.append(w.encode("utf-8", "surrogatepass"))
             load += len(todo[-1])
+            self.load += len(todo[-1])
             if load > BATCH_BYTES or w is fresh[-1]:
                 flat, size = PairIndex(self.vocab, todo).run().words()
                 flats.append(flat)
@@ -212,7 +216,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit integers."""
-        if len(self.sizes) > CACHE_WORDS:
+        if len(self.sizes) > CACHE_WORDS or self.load > CACHE_BYTES:
             self._forget()
         look = self.number.__getitem__
         numbers = [np.fromiter(map(look, w), np.int32, len(w)) for w in map(self._split, texts)]
@@ -234,23 +238,23 @@ def decode(vocab: Vocabulary, packed: bytes) -> str:
         "utf-8", "replace")
 
 
-def _groups(texts: list[str | None], most: int = GROUP_CHARS):
-    """The texts in runs of about ``most`` characters (a longer text is a run of its own)."""
-    run, load = [], 0
-    for t in texts:
-        run.append(t or "")
-        load += len(run[-1])
-        if load >= most:
-            yield run
-            run, load = [], 0
-    if run:
-        yield run
+def text_groups(column: pa.Array, most: int = GROUP_CHARS):
+    """``(offset, texts)``: the texts of a column (null: empty) in runs of about ``most`` bytes;
+    a longer text is a run of its own. Only one run at a time is held as Python strings."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first = 0
+    while first < len(column):
+        done = int(ends[first - 1]) if first else 0
+        stop = max(first + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield first, [t or "" for t in column.slice(first, stop - first).to_pylist()]
+        first = stop
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
 
 
-def _vocabulary(path: str) -> Vocabulary:
+def vocabulary(path: str) -> Vocabulary:
     if path not in _VOCABULARIES:
         _VOCABULARIES[path] = Vocabulary(path)
     return _VOCABULARIES[path]
@@ -264,32 +268,37 @@ def _little(packed: bytes) -> bytes:
     return a.tobytes()
 
 
-def _encode_batches(path, at, names, digests):
+def _encode_batches(path, at, names, columns):
+    """Each batch with ``columns(vocab, texts, packed ids)`` behind its others, part by part."""
     def run(batches):
-        vocab = _vocabulary(path)
+        vocab = vocabulary(path)
         enc = Encoder(vocab)
         for b in batches:
-            for off, texts, packed in _encoded(enc, b.column(at).to_pylist()):
+            for off, texts in text_groups(b.column(at)):
+                kept, extra = columns(vocab, texts, enc.encode(texts))
                 part = b.slice(off, len(texts))
-                if digests:
-                    extra = [pa.array([len(p) // 4 for p in packed], pa.int64()),
-                             pa.array([hashlib.sha256(_little(p)).hexdigest() for p in packed]),
-                             pa.array([hashlib.sha256(decode(vocab, p).encode()).hexdigest()
-                                       for p in packed])]
-                    cols = [c for i, c in enumerate(part.columns) if i != at]
-                else:
-                    extra = [pa.array([memoryview(p).cast("I").tolist() for p in packed],
-                                      pa.list_(pa.int32()))]
-                    cols = list(part.columns)
+                cols = [c for i, c in enumerate(part.columns) if kept or i != at]
                 yield pa.RecordBatch.from_arrays([*cols, *extra], names)
     return run
 
 
-def _encoded(enc, texts):
-    off = 0
-    for group in _groups(texts):
-        yield off, group, enc.encode(group)
-        off += len(group)
+def _digest_columns(vocab, texts, packed):
+    return False, [
+        pa.array([len(p) // 4 for p in packed], pa.int64()),
+        pa.array([hashlib.sha256(_little(p)).hexdigest() for p in packed], pa.string()),
+        pa.array([hashlib.sha256(decode(vocab, p).encode()).hexdigest() for p in packed],
+                 pa.string())]
+
+
+def _id_columns(vocab, texts, packed):
+    """The ids as one list column over the packed bytes: no Python integers. All are decoded
+    again; one text that they do not give raises an error."""
+    for t, p in zip(texts, packed, strict=True):
+        if decode(vocab, p) != t:
+            raise ValueError(f"token ids do not decode to their text: {t[:80]!r}")
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+    flat = np.frombuffer(b"".join(packed), np.int32)
+    return True, [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -298,16 +307,18 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     special tokens in a text get their ids. ``path`` names the vocabulary on every node."""
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _encode_batches(path, 1, names, True),
+        _encode_batches(path, 1, names, _digest_columns),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode_documents(docs: DataFrame, path: str, column: str = "token_ids") -> DataFrame:
-    """``docs`` with one more column: the ids of the whole text (empty for null)."""
+    """``docs`` with one more column: the ids of the whole text (empty for null). The ids of every
+    row are decoded again where they are made; a row whose ids do not give its text raises an
+    error."""
     flat, name = positional(docs)
     at = flat.columns.index(name["text"])
     schema = T.StructType([*flat.schema, T.StructField("_ids", T.ArrayType(T.IntegerType()))])
-    out = flat.mapInArrow(_encode_batches(path, at, [*flat.columns, "_ids"], False), schema)
+    out = flat.mapInArrow(_encode_batches(path, at, [*flat.columns, "_ids"], _id_columns), schema)
     while column in docs.columns:
         column += "_"
     return out.toDF(*docs.columns, column)
@@ -315,7 +326,7 @@ def encode_documents(docs: DataFrame, path: str, column: str = "token_ids") -> D
 
 def _decode_batches(path, at, names):
     def run(batches):
-        vocab = _vocabulary(path)
+        vocab = vocabulary(path)
         for b in batches:
             col = b.column(at)
             ids = col.values.fill_null(-1).to_numpy().astype(np.uint32)
@@ -341,8 +352,8 @@ def decode_documents(docs: DataFrame, path: str, ids: str = "token_ids",
 
 
 def verified(encoded: DataFrame, path: str) -> DataFrame:
-    """The rows of ``encode_documents``; one whose last column does not decode to its text (the
-    empty one for null) raises an error."""
+    """The rows of ``encode_documents``, read again from where they were kept; one whose last
+    column does not decode to its text (the empty one for null) raises an error."""
     flat, name = positional(decode_documents(encoded, path, encoded.columns[-1]))
     same = F.col(flat.columns[-1]) == F.coalesce(F.col(name["text"]), F.lit(""))
     return flat.where(F.when(same, True).otherwise(F.raise_error(F.lit(
