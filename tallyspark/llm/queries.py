@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.llm import (blob_ledger, bpe_index, conversation_repair, decision_list, mixing,
-                            order_minhash, periodic_runs, quality_em, sentence_spans,
-                            simhash_vptree, toxicity_knn, url_cascade)
+                            online_packing, order_minhash, periodic_runs, quality_em,
+                            sentence_spans, simhash_vptree, toxicity_knn, url_cascade)
 from tallyspark.llm.common import read_table, scratch_path
 
 
@@ -72,6 +72,10 @@ def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_ledger.scan_documents(_documents(spark, sf_dir), ledger)
 
 
+def op11_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return online_packing.packed_pieces(_documents(spark, sf_dir), tokenizer_path())
+
+
 def op12_target_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(read_table(spark, sf_dir, "conversations"))
 
@@ -82,8 +86,8 @@ def op13_frequency_splitting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (op1_weak_label_quality, op2_soft_mixing, op3_url_cascade, op4_toxicity_knn,
            op5_simhash_vptree, op6_bpe_pair_index, op7_sentence_spans, op8_order_minhash,
-           op9_decision_list, op10_blob_ledger, op12_target_alignment,
-           op13_frequency_splitting)
+           op9_decision_list, op10_blob_ledger, op11_bounded_packing,
+           op12_target_alignment, op13_frequency_splitting)
 
 
 def queries() -> dict:
