@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm.common import pick, positional, stored
+from tallyspark.plans.versions import VersionLog
 
 
 # ------------------------------------------------------------------------- rules
@@ -39,12 +41,13 @@ BASE_RULES = (
     Rule("hex", re.compile(r"[0-9a-f]+"), 32, base=True),
 )
 MORE_RULES = (
-    Rule("pem", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]+"
-                           r"-----END [A-Z ]{0,40}PRIVATE KEY-----"), hint="PRIVATE KEY"),
+    Rule("pem", re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----(?:[^-]|-(?!----))+"
+                           r"-----END [A-Z0-9 ]*PRIVATE KEY-----"), version=2,
+         hint="PRIVATE KEY"),
     Rule("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
          hint="eyJ"),
     Rule("forge", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"), hint="_"),
-    Rule("login", re.compile(r"://[^\s/:@]{1,200}:[^\s/:@]{3,200}@"), hint="://"),
+    Rule("login", re.compile(r"://[^\s/:@]+:[^\s/:@]{3,}@"), version=2, hint="://"),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -99,23 +102,47 @@ def address(text: str):
 
 class Ledger:
     """What has been scanned: one row for each blob, rule kind and rule version, with the
-    spans found (maybe none). Kept as Parquet below ``path`` (a shared folder); every run
-    appends the pairs it scanned, in one write, so a failed run adds nothing."""
+    spans found (maybe none).
+
+    Kept below ``path`` (a shared folder). Every run writes the pairs it scanned to a folder of
+    its own and then enters that in a log of versions: a run that fails adds nothing, and runs at
+    the same time each add theirs. Where two have scanned the same pair, one of the equal rows
+    counts. A run that finds nothing new writes nothing.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path and path.rstrip("/")
         self.last_scanned: DataFrame | None = None
 
+    def folders(self) -> dict[str, int]:
+        """The folders that hold the ledger, with the numbers of their entries."""
+        log = VersionLog(self.spark, self.path)
+        entries = [log.read(n) for n, _ in log.numbers()]
+        gone = {n for e in entries for n in e["replaces"]}
+        return {e["folder"]: e["number"] for e in entries if e["number"] not in gone}
+
     def rows(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], LEDGER_SCHEMA)
-        if self.path is None:
-            return empty
-        try:
-            return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
-        except Exception as e:  # the first run: nothing has been written yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return empty
+        """One row for each pair."""
+        folders = self.folders() if self.path is not None else {}
+        if not folders:
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        found = self.spark.read.schema(LEDGER_SCHEMA).parquet(
+            *[f"{self.path}/{f}" for f in sorted(folders)])
+        # each folder holds a pair once
+        return found if len(folders) == 1 else found.dropDuplicates(["blob", "kind", "version"])
+
+    def append(self, found: DataFrame, replaces: tuple[int, ...] = ()) -> None:
+        """Add rows that hold each pair once, in place of the entries ``replaces``."""
+        folder = f"v-{uuid.uuid4().hex}"
+        found.write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
+        VersionLog(self.spark, self.path).enter({"folder": folder, "replaces": [*replaces]})
+
+    def compact(self) -> None:
+        """Many runs' folders become one. What others enter meanwhile stays beside it; the old
+        folders stay too, for those who read them (``plans.sinks.vacuum`` is not for ledgers)."""
+        folders = self.folders()
+        if len(folders) > 1:
+            self.append(self.rows(), tuple(folders.values()))
 
     def scan(self, versions: DataFrame, rules=RULES) -> DataFrame:
         """Scans what is new in ``versions(path, text)`` and returns the ledger's rows with
@@ -139,17 +166,20 @@ class Ledger:
         todo = stored(blobs.join(seen, "blob", "left").select("blob", "path",
                                                               lacking.alias("todo"))
                       .where(F.size("todo") > 0), "unseen")
-        one = held.join(todo.withColumnRenamed("path", "_path").withColumnRenamed("blob", "_b"),
-                        (F.col("blob") == F.col("_b")) & F.col("path").eqNullSafe(F.col("_path")))
-        found = one.select("text", "blob", "todo").mapInArrow(_scan_batches(tuple(rules)),
-                                                              LEDGER_SCHEMA)
-        self.last_scanned = found = stored(found, "scanned").dropDuplicates(
-            ["blob", "kind", "version"])
-        if self.path is not None:
-            found.write.mode("append").option("compression", "zstd").parquet(self.path)
-            all_rows = self.rows()
+        if todo.isEmpty():
+            self.last_scanned = self.spark.createDataFrame([], LEDGER_SCHEMA)
         else:
-            all_rows = found
+            one = held.join(todo.withColumnRenamed("path", "_path")
+                            .withColumnRenamed("blob", "_b"),
+                            (F.col("blob") == F.col("_b"))
+                            & F.col("path").eqNullSafe(F.col("_path")))
+            found = one.select("text", "blob", "todo").mapInArrow(
+                _scan_batches(tuple(rules)), LEDGER_SCHEMA)
+            self.last_scanned = stored(found, "scanned").dropDuplicates(
+                ["blob", "kind", "version"])
+            if self.path is not None:
+                self.append(self.last_scanned)
+        all_rows = self.last_scanned if self.path is None else self.rows()
         return all_rows.where(F.size("spans") > 0).join(now, ["kind", "version"], "left_semi")
 
 

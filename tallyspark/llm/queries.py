@@ -67,9 +67,12 @@ def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first run over a new ledger in the shared folder."""
-    ledger = blob_ledger.Ledger(spark, scratch_path(spark, "ledger"))
-    return blob_ledger.scan_documents(_documents(spark, sf_dir), ledger)
+    """Two runs over a new ledger in the shared folder: the first scans every blob, the second
+    none, and joins the findings to all documents."""
+    docs = _documents(spark, sf_dir)
+    path = scratch_path(spark, "ledger")
+    blob_ledger.Ledger(spark, path).scan(docs.withColumnRenamed("doc_id", "path"))
+    return blob_ledger.scan_documents(docs, blob_ledger.Ledger(spark, path))
 
 
 def op11_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import blob_ledger as bl
 
@@ -88,6 +91,59 @@ def test_only_unseen_pairs_are_scanned(spark, tmp_path):
     assert {r.doc_id: r.spans for r in bl.scan_documents(first, ledger).collect()}[2] == ""
 
 
+def test_two_runs_at_once_count_once(spark, tmp_path):
+    """Both have seen the same empty ledger, both scan and append; one row per pair counts."""
+    d = spark.createDataFrame([(1, "password = aaaaaaaa"), (2, "none"), (3, "token: bbbbbbbbb")],
+                              "doc_id long, text string")
+    path = f"{tmp_path}/ledger"
+    both = [bl.Ledger(spark, path) for _ in range(2)]
+    barrier = threading.Barrier(2)
+    for ledger in both:
+        def wait(df, replaces=(), real=ledger.append):
+            barrier.wait(60)
+            real(df, replaces)
+        ledger.append = wait
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda x: x.scan(d.withColumnRenamed("doc_id", "path")).count(), both))
+    ledger = bl.Ledger(spark, path)
+    assert len(ledger.folders()) == 2
+    assert ledger.rows().count() == 3 * len(bl.RULES)
+    check(bl.scan_documents(d, ledger), d)
+    assert ledger.last_scanned.count() == 0 and len(ledger.folders()) == 2
+    ledger.compact()
+    assert len(ledger.folders()) == 1
+    check(bl.scan_documents(d, ledger), d)
+
+
+def test_second_run_scans_and_writes_nothing(spark, docs, tmp_path):
+    ledger = bl.Ledger(spark, f"{tmp_path}/ledger")
+    ledger.scan(docs.withColumnRenamed("doc_id", "path"))
+    before = ledger.folders()
+    check(bl.scan_documents(docs, ledger), docs)
+    assert ledger.last_scanned.count() == 0 and ledger.folders() == before
+
+
+def test_a_failed_run_adds_nothing(spark, tmp_path):
+    ledger = bl.Ledger(spark, f"{tmp_path}/ledger")
+    bad = spark.range(3).select(F.raise_error(F.lit("lost")).cast("binary").alias("blob"),
+                                F.lit("hex").alias("kind"), F.lit(1).alias("version"),
+                                F.array(F.array(F.lit(0).cast("long"))).alias("spans"))
+    with pytest.raises(Exception, match="lost"):
+        ledger.append(bad)
+    assert ledger.rows().count() == 0 and ledger.folders() == {}
+
+
+def test_keys_with_headers_and_long_parts(spark):
+    key = ("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB\n\n"
+           "MIIE+abc/\n-----END RSA PRIVATE KEY-----")
+    login = "https://" + "u" * 500 + ":" + "p" * 300 + "@host"
+    d = spark.createDataFrame([(1, f"x {key} y {login}")], "doc_id long, text string")
+    spans = bl.scan_documents(d).first().spans.split(",")
+    assert f"pem:2:{2 + len(key)}" in spans
+    at = 2 + len(key) + 3 + len("https")
+    assert f"login:{at}:{at + 3 + 500 + 1 + 300 + 1}" in spans
+
+
 def test_more_rules_add_spans(spark):
     t = ("-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY----- "
          "ghp_" + "a1B2" * 10 + " https://me:pass1@host/x eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl")
