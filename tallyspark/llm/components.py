@@ -10,20 +10,29 @@ from tallyspark.llm.common import stored
 MAX_ROUNDS = 60
 
 
+def with_least(rows: DataFrame, least: DataFrame, on: str) -> DataFrame:
+    """``rows`` joined with one row per key of an aggregate. The join asks for the key's hash
+    too, so that the aggregate is shuffled once more: a join in the aggregate's own stage could
+    not be split, and a hub's rows would stay in one task."""
+    hashed = F.xxhash64(on)
+    return rows.withColumn("_h", hashed).join(least.withColumn("_h", hashed),
+                                              [on, "_h"]).drop("_h")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a vertex to the least vertex around it."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"),
                                                            F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return (both.join(least, "a").where("b > a").where("b != m")
+    return (with_least(both, least, "a").where("b > a").where("b != m")
             .select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links every smaller neighbour, and the vertex itself, to the least of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b != m").select(F.col("b").alias("a"),
-                                                          F.col("m").alias("b"))
+    moved = with_least(edges, least, "a").where("b != m").select(F.col("b").alias("a"),
+                                                                  F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -32,8 +41,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     of its component. Self links and repeated links are allowed, nulls are dropped.
 
     Each round is two aggregations and two joins on the vertex; a hub's rows are
-    pre-aggregated to one minimum, and the join with that minimum is a plain
-    sort-merge join that adaptive execution splits. Every round is written to the
+    pre-aggregated to one minimum, and the join with that minimum reads shuffles of its own
+    on both sides, so that adaptive execution can split it. Every round is written to the
     shared folder. A fixed point is a forest of stars, so the loop ends when a round
     leaves the edges as they were (count and order-free checksum).
     """

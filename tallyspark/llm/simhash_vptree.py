@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm.common import pick, positional, stored
-from tallyspark.llm.components import connected_components
+from tallyspark.llm.components import connected_components, with_least
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 HASH_SEED = 42
-SAMPLE = 16_384          # fingerprints that shape one round of splits (bounded)
+SAMPLE = 16_384          # sampled fingerprints that shape the splits of one shard, at most
+ALL_SAMPLES = 1 << 20    # and of all shards that one round splits, about
+LEAST_SAMPLE = 64        # of one shard, about, however many shards a round splits
 LEAF_TARGET = 16_384     # aimed fingerprints of a shard; each is searched by a tree of its own
 MIN_SAMPLE = 16          # sampled fingerprints below which a node is not split
 MAX_SHARD = 200_000      # more own fingerprints than this: split again
-MAX_ROUNDS = 4
+MAX_ROUNDS = 40          # of splits; each splits up to ALL_SAMPLES / LEAST_SAMPLE shards
 BLOCK = 200_000          # rows of one side of a block of a shard that does not split
 
 
@@ -206,6 +208,28 @@ def _shard_links(r):
     return run
 
 
+def _samples(rows: DataFrame, big: dict[str, int], each: int, seed: int) -> dict[str, np.ndarray]:
+    """About ``each`` own fingerprints of every shard in ``big``, in an order that does not depend
+    on partitions: those whose hash falls into the shard's share of all hashes."""
+    spark = rows.sparkSession
+    shares = F.broadcast(spark.createDataFrame(
+        [(s, min(1 << 31, -(-(each << 31) // n))) for s, n in big.items()],
+        "shard string, share long"))
+    picked = rows.where("own").join(shares, "shard").where(
+        F.pmod(F.xxhash64("fp", F.lit(seed)), F.lit(1 << 31)) < F.col("share")).select(
+        "shard", "fp").orderBy("shard", "fp").toArrow()
+    by_shard: dict[str, list[int]] = {}
+    for s, fp in zip(picked["shard"].to_pylist(), picked["fp"].to_pylist(), strict=True):
+        by_shard.setdefault(s, []).append(fp)
+    return {s: np.array(v, np.int64).view(np.uint64) for s, v in by_shard.items()}
+
+
+def _trees(samples: dict, big: dict[str, int], leaf_target: int, min_sample: int) -> dict:
+    """A tree for each shard that its sample can split."""
+    trees = {s: build_tree(v, big[s], leaf_target, min_sample) for s, v in samples.items()}
+    return {s: t for s, t in trees.items() if t is not None}
+
+
 def near_links(fps: DataFrame, r: int = MAX_BITS, *, sample: int = SAMPLE,
                leaf_target: int = LEAF_TARGET, min_sample: int = MIN_SAMPLE,
                max_shard: int = MAX_SHARD, block: int = BLOCK) -> DataFrame:
@@ -213,30 +237,28 @@ def near_links(fps: DataFrame, r: int = MAX_BITS, *, sample: int = SAMPLE,
     within ``r`` bits, directly or through others (a spanning forest of every shard, so
     never more links than rows). Exact at every size.
 
-    A bounded sample shapes the splits. Shards with more than ``max_shard`` fingerprints
-    of their own are split again, from a new sample of them. What does not split (a dense
-    cloud) is compared in blocks of ``block`` rows, each its own task.
+    Shards with more than ``max_shard`` fingerprints of their own are split, again and again,
+    each by a bounded sample of its own fingerprints, until none is left that splits. What does
+    not split (a dense cloud) is compared in blocks of ``block`` rows, each its own task.
     """
     spark = fps.sparkSession
     rows = fps.select(F.lit("").alias("shard"), "fp", F.lit(True).alias("own"))
+    stuck: list[str] = []
     for round_no in range(MAX_ROUNDS):
-        sizes = (rows.where("own").groupBy("shard").count()
-                 .where(F.col("count") > (max_shard if round_no else leaf_target))
-                 .orderBy(F.desc("count"), "shard").limit(1024).collect())
-        big = {s["shard"]: s["count"] for s in sizes}
+        sizes = rows.where("own").groupBy("shard").count().where(
+            F.col("count") > (max_shard if round_no else leaf_target))
+        if stuck:
+            known = spark.createDataFrame([(s,) for s in stuck], "shard string")
+            sizes = sizes.join(F.broadcast(known), "shard", "left_anti")
+        big = {s["shard"]: s["count"] for s in sizes.orderBy(F.desc("count"), "shard").limit(
+            ALL_SAMPLES // LEAST_SAMPLE).collect()}
         if not big:
             break
-        names = spark.createDataFrame([(s,) for s in big], "shard string")
-        picked = (rows.where("own").join(F.broadcast(names), "shard", "left_semi")
-                  .orderBy(F.xxhash64("fp", F.lit(round_no)), "fp").limit(sample).collect())
-        by_shard: dict[str, list[int]] = {}
-        for p in picked:
-            by_shard.setdefault(p["shard"], []).append(p["fp"])
-        trees = {s: build_tree(np.array(v, np.int64).view(np.uint64), big[s], leaf_target,
-                               min_sample) for s, v in by_shard.items()}
-        trees = {s: t for s, t in trees.items() if t is not None}
+        each = max(LEAST_SAMPLE, min(sample, ALL_SAMPLES // len(big)))
+        trees = _trees(_samples(rows, big, each, round_no), big, leaf_target, min_sample)
+        stuck += [s for s in big if s not in trees]
         if not trees:
-            break
+            continue
         rows = stored(rows.mapInArrow(_route_batches(trees, r),
                                       "shard string, fp long, own boolean"), "shards")
     # blocks: one for nearly every shard; h x g tasks for shards beyond the block size
@@ -276,7 +298,7 @@ def simhash_components(docs: DataFrame, k: int = SHINGLE_WORDS, r: int = MAX_BIT
     comp = stored(connected_components(near_links(distinct.select("fp"), r, **tree)), "roots")
     linked = distinct.join(comp.withColumnRenamed("node", "fp"), "fp")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    merged = linked.join(least, "root").select("fp", "component_id", "root")
+    merged = with_least(linked, least, "root").select("fp", "component_id", "root")
     lone = distinct.join(comp.select(F.col("node").alias("fp")), "fp", "left_anti").select(
         "fp", F.col("least").alias("component_id"), F.col("fp").alias("root"))
     return rows.join(merged.unionByName(lone), "fp").select(
