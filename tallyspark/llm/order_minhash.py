@@ -17,8 +17,9 @@ PICKED = 2             # k-mers that one component selects
 COMPONENTS = 64        # components of a signature
 SEED = 1_729
 CHUNK = 1 << 12        # k-mers ranked at once (bounded memory for long texts)
-BUCKET_BYTES = 8 << 20   # text that one ordered bucket of documents should hold
-MAX_BUCKETS = 50_000     # bounds that the driver handles; beyond that, buckets get larger
+BUCKET_BYTES = 8 << 20   # text that one ordered range of documents should hold, at least
+RANGES = 200_000         # ranges that a table is cut into, at most (of 500 MB each at 100 TB)
+SAMPLED = 32             # sampled rows for each range, about, that place the bounds
 
 _DRAW = np.random.default_rng(SEED)
 _XOR = _DRAW.integers(0, 1 << 32, COMPONENTS, dtype=np.uint32)
@@ -146,10 +147,12 @@ def _compare_batches(k, most=512):
             likeness(sig, next_sig))
 
     def run(batches):
-        rows, before, bucket = [], None, None
+        rows, before, bucket, last = [], None, None, None
         for at, guest, doc_id, text in _rows_in_order(batches):
-            points = code_points(text)
-            here = (doc_id, points, signature(points, k))
+            if last is None or text != last[0]:
+                points = code_points(text)
+                last = (text, points, signature(points, k))
+            here = (doc_id, *last[1:])
             if before is not None and at == bucket:
                 rows.append(judged(before, here))
             before, bucket = (None if guest else here), at
@@ -161,12 +164,36 @@ def _compare_batches(k, most=512):
     return run
 
 
-def _bucket_of(bounds: np.ndarray):
-    """Range i holds the ids from bounds[i - 1] up to below bounds[i]."""
-    @F.pandas_udf("long")
-    def bucket(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, key.to_numpy(), side="right").astype(np.int64))
-    return bucket
+def _bounds(rows: DataFrame, total: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``n - 1`` places ``(key, turn)`` that cut ``rows(key, turn, size)`` into ranges of
+    about equal size. They hang on a sample that takes a row with a chance that grows with its
+    size, so it holds at most about twice ``SAMPLED * n`` rows; where the bounds lie decides
+    how even the tasks are, not what they return."""
+    unit = max(1, total // (SAMPLED * n))          # each sampled row stands for so much, at least
+    share = F.floor(F.least(F.col("size") / unit, F.lit(1.0)) * float(1 << 31))
+    got = rows.where(F.pmod(F.xxhash64("key", "turn", "size"), F.lit(1 << 31)) < share).toArrow()
+    key, turn, size = (got.column(c).to_numpy() for c in ("key", "turn", "size"))
+    order = np.lexsort((turn, key))
+    key, turn = key[order], turn[order]
+    ends = np.cumsum(np.maximum(size[order], unit))
+    at = np.searchsorted(ends, (ends[-1] / n) * np.arange(1, n)) if len(ends) else []
+    at = np.unique(np.asarray(at, np.int64))
+    return key[at], turn[at]
+
+
+def _range_of(keys: np.ndarray, turns: np.ndarray):
+    """Range i holds the rows from bound i - 1 up to below bound i, in the order of key, turn."""
+    @F.pandas_udf("int")
+    def at(key: pd.Series, turn: pd.Series) -> pd.Series:
+        k, t = key.to_numpy(), turn.to_numpy()
+        start, stop = np.searchsorted(keys, k, side="left"), np.searchsorted(keys, k, side="right")
+        out, inside = start.copy(), np.flatnonzero(stop > start)     # of ids that bounds cut
+        for first in np.unique(start[inside]).tolist():
+            rows = inside[start[inside] == first]
+            last = int(stop[rows[0]])
+            out[rows] = first + np.searchsorted(turns[first:last], t[rows], side="right")
+        return pd.Series(out.astype(np.int32))
+    return at
 
 
 def edit_neighbours(docs: DataFrame, k: int = K, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -174,39 +201,48 @@ def edit_neighbours(docs: DataFrame, k: int = K, bucket_bytes: int = BUCKET_BYTE
     near_next)``, one row per document row.
 
     The next document is that of the next higher doc_id (after the last: the first). The
-    table is cut into ranges of doc_id that hold about ``bucket_bytes`` of text each; whole
-    texts move once, to their range. The first row of a range is also sent, as a guest, to
-    the range before it, so that every row finds its successor in its own range. Null ids
-    come first; rows of one id follow each other by text, repeated rows too. A table of one
-    row is followed by itself. Null texts count as empty; other columns are ignored.
+    table is cut into ranges of doc_id that hold about ``bucket_bytes`` of text each (more in
+    tables that would need over ``RANGES`` ranges); whole texts move once, to the task of their
+    range. The first row of a range is also sent, as a guest, to the range before it, so that
+    every row finds its successor in its own range. Null ids come first; rows of one id follow
+    each other by a hash of the text, and ranges may end among them, so that an id of very many
+    rows spreads; rows equal in both lie in one range, are read as a stream and signed
+    once. A table of one row is followed by itself. Null texts
+    count as empty; a text of any length is signed whole; an empty table gives no rows; other
+    columns are ignored.
     """
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"),
                                             F.coalesce(F.col("text").cast("string"), F.lit(""))
                                             .alias("text"))
-    # ids in order; null stands before all
+    # ids in order, null before all
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    size = d.agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("n")).first()
-    n = min(MAX_BUCKETS, max(1, -(-(size["chars"] or 0) // bucket_bytes)))
-    bucket = F.lit(0).cast("long")
+    placed = d.select("doc_id", "text", key.alias("key"), F.xxhash64("text").alias("turn"))
+    slim = placed.select("key", "turn", (F.length("text") + 1).cast("long").alias("size"))
+    total = slim.agg(F.sum("size")).first()[0] or 0
+    n = max(1, min(RANGES, -(-total // bucket_bytes)))
     if n > 1:
-        shares = [i / n for i in range(1, n)]
-        bounds = np.unique(d.agg(F.percentile_approx(key, shares, max(10_000, 20 * n))).first()[0])
-        bucket = _bucket_of(bounds)(key)
+        keys, turns = _bounds(slim, total, n)
+        placed = placed.withColumn("bucket", _range_of(keys, turns)(F.col("key"), F.col("turn")))
+        n = len(keys) + 1
+    else:
+        placed = placed.withColumn("bucket", F.lit(0))
     # the first row of each range, and the range that it follows (one row a range)
-    firsts = [(r["bucket"], r["key"]) for r in d.groupBy(bucket.alias("bucket")).agg(
-        F.min(key).alias("key")).orderBy("bucket").collect()]
-    placed = d.select("doc_id", "text", bucket.alias("bucket"), key.alias("key"))
-    rows = placed.select("bucket", F.lit(False).alias("guest"), "doc_id", "text", "key")
+    firsts = [(r["bucket"], *r["first"]) for r in placed.groupBy("bucket").agg(
+        F.min(F.struct("key", "turn")).alias("first")).orderBy("bucket").collect()]
+    rows = placed.select("bucket", F.lit(False).alias("guest"), "doc_id", "text", "key", "turn")
     if firsts:
         # a range's first row visits the range before it (the very first one the last range)
-        guests = [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
-        to = F.broadcast(docs.sparkSession.createDataFrame(guests, "key long, bucket long"))
-        first = placed.where(F.col("key").isin([k for k, _ in guests])).groupBy("key").agg(
-            F.min("text").alias("text"), F.min("doc_id").alias("doc_id"))
-        rows = rows.unionByName(first.join(to, "key").select(
-            "bucket", F.lit(True).alias("guest"), "doc_id", "text", "key"))
-    return (rows.repartition(n, "bucket")
-            .sortWithinPartitions("bucket", "guest", "key", "text")
+        guests = [(at, k, t, firsts[i - 1][0]) for i, (at, k, t) in enumerate(firsts)]
+        to = F.broadcast(docs.sparkSession.createDataFrame(
+            guests, "_at int, _key long, _turn long, to int"))
+        first = placed.join(to, (F.col("bucket") == F.col("_at")) & (F.col("key") == F.col("_key"))
+                            & (F.col("turn") == F.col("_turn"))).groupBy(
+            "to", "key", "turn").agg(F.min("text").alias("text"), F.min("doc_id").alias("doc_id"))
+        rows = rows.unionByName(first.select(F.col("to").alias("bucket"),
+                                             F.lit(True).alias("guest"), "doc_id", "text", "key",
+                                             "turn"))
+    return (rows.repartitionById(n, F.col("bucket"))
+            .sortWithinPartitions("bucket", "guest", "key", "turn", "text")
             .select("bucket", "guest", "doc_id", "text")
             .mapInArrow(_compare_batches(k), "doc_id long, n_chars long, edited_sha256 string, "
                         "fingerprint string, edited_fingerprint string, near_edited double, "

@@ -4,6 +4,8 @@ import hashlib
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from tallyspark.llm import order_minhash as om
 
@@ -72,8 +74,14 @@ def test_likeness_follows_edits_and_order():
     assert near["shuffled"] < near["one"]  # plain MinHash would call these alike
 
 
+def turn(text):
+    """Rows of one id follow each other by Spark's hash of the text."""
+    h = xxhash.xxh64_intdigest((text or "").encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def slow_rows(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, turn(r[1])))
     out = []
     for at, (doc_id, text) in enumerate(rows):
         text, nxt = text or "", rows[(at + 1) % len(rows)][1] or ""
@@ -94,6 +102,28 @@ def test_documents_and_edge_rows(docs, edge_docs, size):
         assert sorted(map(tuple, out), key=str) == slow_rows(rows)
 
 
+def test_hot_ids_spread_over_ranges(spark):
+    """One id holds most rows; some of them are equal. No range is much larger than asked for
+    (but for equal rows), and every row still finds its successor."""
+    rows = [(7, f"text number {i} " * 5) for i in range(300)] + [(7, "the same text " * 6)] * 30
+    rows += [(i, f"own {i} " * 12) for i in range(40)] + [(None, f"lone {i} " * 12)
+                                                          for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    out = om.edit_neighbours(d, bucket_bytes=1_000)
+    assert sorted(map(tuple, out.collect()), key=str) == slow_rows(rows)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(
+        F.sum("n_chars").alias("n")).collect()]
+    assert len(sizes) > 20 and max(sizes) < 6_000
+
+
+def test_ranges_are_tasks_and_even_in_bytes(docs):
+    out = om.edit_neighbours(docs, bucket_bytes=20_000)
+    sizes = sorted(r["n"] for r in out.groupBy(F.spark_partition_id()).agg(
+        F.sum("n_chars").alias("n")).collect())
+    longest = docs.agg(F.max(F.length("text"))).first()[0]
+    assert sizes[-1] <= longest + 3 * 20_000
+
+
 def test_few_rows(spark, no_docs):
     assert om.edit_neighbours(no_docs).collect() == []
     one = spark.createDataFrame([(5, "lonely text")], "doc_id long, text string")
