@@ -29,7 +29,7 @@ from tallyspark.operators import (exports, monthly, quarterly, revenue,  # noqa:
 from tallyspark.plans import SHARED_MODELS, ModelSet, sinks  # noqa: E402
 from tallyspark.session import AS_OF_TEST, checkpoint_dir, ensure_session_conf  # noqa: E402
 from tallyspark.sources import derive_billing_tables, read_billing_tables  # noqa: E402
-from tallyspark.sources.readers import input_state  # noqa: E402
+from tallyspark.sources.readers import input_states  # noqa: E402
 
 # The training-data operators are an optional part: without their folder, or without
 # corpus_pipeline.py, everything else works.
@@ -58,7 +58,8 @@ _INPUTS = ("region", "nation", "customer", "part", "orders")
 
 
 def _state(spark: SparkSession, sf_dir: str) -> str:
-    return "".join(input_state(spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in _INPUTS)
+    return str(sorted(input_states(
+        {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _INPUTS}).items()))
 
 
 def _models(spark: SparkSession, sf_dir: str) -> ModelSet:
@@ -156,7 +157,13 @@ def _build_until(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _models(spark, sf_dir).build_until("quarterly_arr")
 
 
-ADHOC_SQL = "select month, ending_arr from monthly_arr where ending_arr > 0"
+#: Divisions, comments, a name in capitals, and a definition that hides a model's name.
+ADHOC_SQL = """
+with /* revenue/100 of stg_tier/100 */ revenue as (
+  select month, ending_arr, ending_arr/12 as monthly from MONTHLY_ARR where ending_arr/100 > 0)
+select month, ending_arr, round(monthly/100, 2) as monthly_hundreds -- stg_price
+from revenue where month not in (select month from monthly_arr where ending_arr/100 < 0)
+"""
 
 
 def _adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
     for key, model in _SAME_AS.items():
         o[key] = o[model]
     from oracle.models_sql import compose
-    o["adhoc_sql"] = compose(ADHOC_SQL)
+    o["adhoc_sql"] = compose(f"select * from ({ADHOC_SQL.lower()})")
     o = {k: o[k] for k in model_queries() if k in o}
     if llm_queries is not None:
         o |= llm_queries.oracle_sql()

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.dates import add_months, as_of_month, lit_date, lit_ts, month_start
@@ -101,19 +101,25 @@ def _expected(invoice: DataFrame, subscriptions: DataFrame, as_of: dt.date) -> D
     """Auto-renewing subscriptions invoiced last month but not (yet) this month:
     last month's invoice, projected one month on.
 
-    Only the last two months are read (a range predicate on the invoice scan);
-    the subscriptions invoiced this month are de-duplicated before the anti join.
+    One read of the last two months (a range predicate on the invoice scan). Equal invoices are
+    counted together, and so are all of this month's of a subscription, before any shuffle;
+    whether a subscription was invoiced this month is then one flag over its few rows.
     """
     this_m = as_of_month(as_of)
     last_m = add_months(this_m, -1)
     recent = _monthly(_billable(invoice, subscriptions, as_of, since=last_m), as_of)
-    last = recent.where(F.col("is_auto_renewal") & (month_start("date") == lit_date(last_m)))
-    this = (recent.where(month_start("date") == lit_date(this_m))
-            .select("subscription_id").distinct())
-    return last.join(this, "subscription_id", "left_anti").select(
-        "amount", F.add_months("date", 1).alias("date"), "product_id", "product_name",
-        "billing_cycle", "stripe_customer_id", "subscription_id", "customer_name",
-        "is_auto_renewal")
+    is_this = month_start("date") == lit_date(this_m)
+    kept = [c for c in recent.columns if c != "subscription_id"]
+    rows = (recent.where(is_this | F.col("is_auto_renewal"))
+            .groupBy("subscription_id", is_this.alias("_this"),
+                     *[F.when(~is_this, F.col(c)).alias(c) for c in kept])
+            .agg(F.count(F.lit(1)).cast("int").alias("_n")))
+    invoiced = F.max("_this").over(Window.partitionBy("subscription_id"))
+    return (rows.withColumn("_invoiced", invoiced).where(~F.col("_invoiced"))
+            .select("*", F.explode(F.array_repeat(F.lit(0), F.col("_n"))))
+            .select("amount", F.add_months("date", 1).alias("date"), "product_id",
+                    "product_name", "billing_cycle", "stripe_customer_id", "subscription_id",
+                    "customer_name", "is_auto_renewal"))
 
 
 def _annual(billable: DataFrame) -> DataFrame:

@@ -182,19 +182,65 @@ def tiered_price_amount(item: DataFrame, price: DataFrame, product: DataFrame,
     )
 
 
-def _item_amount_cents(item: DataFrame, prices: DataFrame, tier: DataFrame) -> DataFrame:
-    """Sum of tier-row amounts per item id (partially summed before its shuffle)."""
-    rows = _item_tier_rows(item, prices, tier)
-    amount = _row_amount_cents(F.col("billing_scheme"), F.col("quantity"),
-                               F.col("unit_amount_cents"), F.col("up_to"), F.col("prev_up_to"),
-                               F.col("flat_cents"), F.col("unit_cents"))
-    return rows.groupBy("item_id").agg(F.sum(amount).alias("amount_cents"))
+def tier_steps(tier: DataFrame) -> DataFrame:
+    """One row per price: its tiers in order of index (NULLs last), as an array of structs with
+    the previous tier's bound."""
+    step = F.struct(F.col("index").isNull().alias("last"), "index", "up_to",
+                    F.col("flat_amount").alias("flat_cents"),
+                    F.col("unit_amount").alias("unit_cents"))
+    return (tier.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("_tier_price_id"))
+            .agg(F.array_sort(F.collect_list(step)).alias("_steps"))
+            .select("_tier_price_id", F.transform("_steps", lambda x, i: F.struct(
+                x["up_to"].alias("up_to"),
+                F.get("_steps", i - 1)["up_to"].alias("prev_up_to"),
+                x["flat_cents"].alias("flat_cents"),
+                x["unit_cents"].alias("unit_cents"))).alias("steps")))
+
+
+def _line_cents() -> Column:
+    """The amount of one line: that of every tier of its price, added up (NULLs count for
+    nothing; a price without tiers has one empty tier)."""
+    one = F.array(F.struct(*[F.lit(None).cast("bigint").alias(c)
+                             for c in ("up_to", "prev_up_to", "flat_cents", "unit_cents")]))
+
+    def add(total: Column, x: Column) -> Column:
+        part = _row_amount_cents(F.col("billing_scheme"), F.col("quantity"),
+                                 F.col("unit_amount_cents"), x["up_to"], x["prev_up_to"],
+                                 x["flat_cents"], x["unit_cents"])
+        return F.coalesce(total + part, total, part)
+
+    return F.aggregate(F.coalesce("steps", one), F.lit(None).cast("bigint"), add)
+
+
+LINE_COLUMNS = ["id", "created", "quantity", "subscription_id", "plan_id", "product_name",
+                "is_main_product", "billing_scheme", "recurring_interval",
+                "recurring_interval_count", "description", "product_id"]
+
+
+def priced_items(item: DataFrame, prices: DataFrame, tier: DataFrame) -> DataFrame:
+    """Every subscription line with its price's attributes and its own amount (``line_cents``):
+    the one join of lines with prices. A price's tiers travel as one array, so there is no row
+    per line and tier. ``prices`` is :func:`priced`."""
+    steps = tier_steps(tier)
+    p = prices.join(steps, F.col("id") == F.col("_tier_price_id"), "left").select(
+        F.col("id").alias("_price_id"), "product_name", "is_main_product", "billing_scheme",
+        "recurring_interval", "recurring_interval_count", "description", "product_id",
+        "unit_amount_cents", "steps")
+    lines = item.select("id", "created", "quantity", "subscription_id", "plan_id").join(
+        p, matches(F.col("plan_id"), F.col("_price_id"), F.col("id"), F.col("created")), "left")
+    return lines.select(*LINE_COLUMNS, _line_cents().alias("line_cents"))
+
+
+def _item_amount_cents(lines: DataFrame) -> DataFrame:
+    """Sum of line amounts per item id (partially summed before its shuffle)."""
+    return lines.groupBy(F.col("id").alias("item_id")).agg(
+        F.sum("line_cents").alias("amount_cents"))
 
 
 def item_amount(item: DataFrame, price: DataFrame, product: DataFrame,
                 product_config: DataFrame, tier: DataFrame) -> DataFrame:
     """Sum of tier amounts per item (units)."""
-    a = _item_amount_cents(item, priced(price, product, product_config), tier)
+    a = _item_amount_cents(priced_items(item, priced(price, product, product_config), tier))
     return a.select("item_id", cents_to_units("amount_cents").alias("amount"))
 
 
@@ -206,36 +252,38 @@ STG_ITEM_COLUMNS = [
 
 
 def stg_subscription_item(item: DataFrame, price: DataFrame, product: DataFrame,
-                          product_config: DataFrame, tier: DataFrame,
-                          prices: DataFrame | None = None) -> DataFrame:
-    """Subscription lines with their price attributes and priced amount.
-
-    The amount is summed per item id over the item x tier rows and joined back by
-    id, as the reference does: lines that share an id share its whole sum, and a line
-    without an id has no amount. ``prices`` may pass an already built :func:`priced`
-    table.
+                          product_config: DataFrame, tier: DataFrame) -> DataFrame:
+    """Subscription lines with their price attributes and priced amount."""
+    return items_with_amounts(priced_items(item, priced(price, product, product_config), tier))
+
+
+def items_with_amounts(lines: DataFrame) -> DataFrame:
+    """The model from :func:`priced_items` (a stored table of it is read twice; nothing is
+    priced again).
+
+    Amounts are summed per item id and joined back by id, as the reference does: lines that
+    share an id share its whole sum, and a line without an id has no amount. The join is one
+    that adaptive execution can split, if one id holds very many lines.
     """
-    if prices is None:
-        prices = priced(price, product, product_config)
-    amounts = _item_amount_cents(item, prices, tier)
-    src = (item.join(prices, matches(item.plan_id, prices.id, item.id, item.created), "left")
-           .join(amounts, matches(item.id, amounts.item_id, item.plan_id, item.subscription_id,
-                                  item.created), "left"))
-    amount = F.col("amount_cents")
+    # the key is written anew so that the sums are shuffled once more, to the join: a join in the
+    # aggregate's own stage cannot be split
+    amounts = _item_amount_cents(lines).withColumn("item_id", F.concat("item_id", F.lit("")))
+    src = lines.join(amounts, matches(F.col("id"), F.col("item_id"), F.col("plan_id"),
+                                      F.col("subscription_id"), F.col("created")), "left")
     return src.select(
-        item.id,
-        item.created.alias("created_at"),
-        F.col("product_name"),
-        F.col("is_main_product"),
+        "id",
+        F.col("created").alias("created_at"),
+        "product_name",
+        "is_main_product",
         F.col("billing_scheme").alias("price_billing_scheme"),
         F.col("recurring_interval").alias("price_recurring_interval"),
         F.col("recurring_interval_count").alias("price_recurring_interval_count"),
         F.col("description").alias("price_description"),
-        item.quantity.alias("price_quantity"),
-        cents_to_units(amount).alias("price_amount"),
-        item.subscription_id,
-        item.plan_id.alias("price_id"),
-        F.col("product_id"),
+        F.col("quantity").alias("price_quantity"),
+        cents_to_units("amount_cents").alias("price_amount"),
+        "subscription_id",
+        F.col("plan_id").alias("price_id"),
+        "product_id",
     )
 
 

@@ -11,7 +11,6 @@ recomputes from the last written model.
 from __future__ import annotations
 
 import datetime as dt
-import re
 import threading
 import uuid
 from collections.abc import Callable, Iterable
@@ -20,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.operators import exports, monthly, quarterly, revenue, staging, trials
 from tallyspark.plans import sinks
+from tallyspark.plans.names import named_tables
 from tallyspark.session import checkpoint_dir
-from tallyspark.sources.readers import BillingTables, input_state
+from tallyspark.sources.readers import BillingTables, input_states
 
 # Models read by other models. Materialising them (as the reference persists its
 # saved models) computes each once when the whole graph is built; leaves such as
@@ -30,11 +30,12 @@ SHARED_MODELS = ("stg_customer", "stg_subscription_item", "stg_subscription", "r
                  "monthly_arr", "monthly_customers", "monthly_trialers", "quarterly_arr",
                  "quarterly_customers", "quarterly_trialers")
 
-# Tables between models; they have no name of their own in the reference.
-INTERNAL = {"customer_months": "revenue"}
+# Tables between models, stored with the model named; they have no name of their own in the
+# reference.
+INTERNAL = {"customer_months": "revenue", "priced_items": "stg_subscription_item"}
 
-# What a text can say besides names of tables: strings and comments.
-_QUOTED = re.compile(r"'(?:[^'\\\\]|\\\\.)*'|\"(?:[^\"\\\\]|\\\\.)*\"|--[^\n]*|/\\*.*?\\*/", re.S)
+# Texts are analysed one at a time: meanwhile the session holds views of the models' names.
+_SQL_LOCK = threading.RLock()
 
 
 class ModelSet:
@@ -48,13 +49,15 @@ class ModelSet:
 
     def __init__(self, tables: BillingTables, as_of: dt.date,
                  materialize: Iterable[str] = (), folder: str | None = None,
-                 force: bool = True, cache: bool = False):
+                 force: bool = True, cache: bool = False,
+                 retain: float = sinks.RETAIN_SECONDS):
         """``materialize``: models written to ``folder`` (default: a new folder under
         the session's checkpoint folder) and read back. A table stored there before is
         kept only if ``force`` is off and it has the same schema, as-of date, product
         config and inputs. ``cache``: persist the models that replace a stored version
-        (a model stored for the first time is not persisted); without it, they are
-        unpersisted."""
+        (a model stored for the first time is not persisted); without it, every version of
+        them that any set has persisted is freed. ``retain``: seconds for which a replaced
+        version can still be read."""
         self.tables = tables
         self.as_of = as_of
         self.spark: SparkSession = tables.invoice.sparkSession
@@ -62,6 +65,7 @@ class ModelSet:
         self._folder = folder
         self._force = force
         self._cache = cache
+        self._retain = retain
         self._built: dict[str, DataFrame] = {}
         self._prices: DataFrame | None = None
         self._stamp: str | None = None
@@ -80,9 +84,9 @@ class ModelSet:
             "stg_customer": lambda: staging.stg_customer(t.customer, t.card),
             "stg_price": lambda: self.prices.select(*staging.STG_PRICE_COLUMNS),
             "stg_tier": lambda: staging.stg_tier(t.tier),
-            "stg_subscription_item": lambda: staging.stg_subscription_item(
-                t.subscription_item, t.price, t.product, t.product_config, t.tier,
-                prices=self.prices),
+            "priced_items": lambda: staging.priced_items(t.subscription_item, self.prices,
+                                                         t.tier),
+            "stg_subscription_item": lambda: staging.items_with_amounts(m("priced_items")),
             "stg_subscription": lambda: staging.stg_subscription(
                 t.subscription_history, m("stg_customer"), m("stg_subscription_item")),
             "stg_invoice": lambda: staging.stg_invoice(
@@ -127,32 +131,34 @@ class ModelSet:
             df = self._defs[name]()
             if name in self._materialize or INTERNAL.get(name) in self._materialize:
                 path = self.table_path(name)
-                had = sinks._finished(self.spark, path)
-                df = sinks.write_model_table(df, path, force=self._force, stamp=self.stamp)
-                updated = had and sinks._finished(self.spark, path)[-1]["number"] > had[-1]["number"]
-                if updated and self._cache:
-                    df = sinks.cache_model(df)
+                df, number, new = sinks.store_model_table(
+                    df, path, force=self._force, stamp=self.stamp, retain=self._retain)
+                if not self._cache:
+                    df = sinks.cache_model(df, no_cache=True, path=path)
+                elif new and number > 1:
+                    df = sinks.cache_model(df, path=path)
                     self.persisted.add(name)
-                elif not self._cache:
-                    df = sinks.cache_model(df, no_cache=True)
             self._built[name] = df
         return self._built[name]
 
     @property
     def stamp(self) -> str:
         """What every stored model of this set depends on: the as-of date, the product
-        config, and the input files (or, for inputs without files, their plans)."""
+        config, and the input files (or, for inputs without files, their plans). Empty in a
+        folder that the set chose itself: no other set will look for its tables there."""
+        if self._made_folder is not None:
+            return ""
         if self._stamp is None:
             tables = self.tables.as_dict()
             self._stamp = sinks.stamp_of(
                 as_of=self.as_of, config=sinks.checksum(tables.pop("product_config")),
-                **{name: input_state(df) for name, df in tables.items()})
+                **input_states(tables))
         return self._stamp
 
     def close(self) -> None:
         """Release what this set holds: persisted models, and its folder if it chose it."""
         for name in self.persisted:
-            self._built[name].unpersist()
+            sinks.release_model(self._built[name], self.table_path(name))
         self.persisted.clear()
         if self._made_folder is not None:
             sinks.delete_folder(self.spark, self._made_folder)
@@ -180,23 +186,27 @@ class ModelSet:
 
     def adhoc_sql(self, text: str) -> DataFrame:
         """Run one SQL text over the models (named in any case) and the raw tables (as
-        ``raw_<table>``); errors raise as usual. Only the models the text names are built.
-        The names are views while the text is analysed; views of the caller that have the
-        same names are put back afterwards, and the others are dropped."""
-        said = {w.lower() for w in re.findall(r"\w+", _QUOTED.sub(" ", text))}
+        ``raw_<table>``); errors raise as usual. Only the models the text names are built: its
+        names are those that Spark's own parser finds, so strings, comments and names that
+        ``with`` defines count for nothing. A text that computes a name (``identifier(...)``)
+        has all models to choose from. The names are views while the text is analysed; views of
+        the caller that have the same names are put back afterwards, and the others dropped."""
+        found, computed = named_tables(self.spark, text)
+        said = {n[0].lower() for n in found if len(n) == 1}
         raw = {f"raw_{n}": df for n, df in self.tables.as_dict().items()}
-        views = {n: df for n, df in raw.items() if n in said}
-        views |= {n: self.model(n) for n in self.names if n in said}
+        views = {n: df for n, df in raw.items() if computed or n in said}
+        views |= {n: self.model(n) for n in self.names if computed or n in said}
         catalog = self.spark.catalog
-        mine = {t.name.lower() for t in catalog.listTables() if t.isTemporary}
-        before = {n: self.spark.table(n) for n in views if n in mine}
-        try:
-            for n, df in views.items():
-                df.createOrReplaceTempView(n)
-            return self.spark.sql(text)
-        finally:
-            for n in views:
-                if n in before:
-                    before[n].createOrReplaceTempView(n)
-                else:
-                    catalog.dropTempView(n)
+        with _SQL_LOCK:
+            mine = {t.name.lower() for t in catalog.listTables() if t.isTemporary}
+            before = {n: self.spark.table(n) for n in views if n in mine}
+            try:
+                for n, df in views.items():
+                    df.createOrReplaceTempView(n)
+                return self.spark.sql(text)
+            finally:
+                for n in views:
+                    if n in before:
+                        before[n].createOrReplaceTempView(n)
+                    else:
+                        catalog.dropTempView(n)

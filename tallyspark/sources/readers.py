@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import functools
 from dataclasses import dataclass, fields
 
 from pyspark.errors import AnalysisException
@@ -36,21 +36,32 @@ class BillingTables:
             df.createOrReplaceTempView(prefix + name)
 
 
+def input_states(tables: dict[str, DataFrame]) -> dict[str, str]:
+    """For each table what its rows are read from: changes when the data are replaced, under the
+    same names too. One Spark job over all tables adds up, row by row, a hash of the row's file
+    (path, size and time, which Spark's file sources know of each row), reading no column. A
+    table that is not a plain scan of files stands for its plan."""
+    states, scans = {}, []
+    for name, df in tables.items():
+        try:
+            file = df.select("_metadata.file_path", "_metadata.file_size",
+                             "_metadata.file_modification_time")
+        except AnalysisException:
+            states[name] = f"plan {df.semanticHash()}"
+            continue
+        scans.append(file.select(F.lit(name).alias("table"),
+                                 F.xxhash64(*file.columns).cast("decimal(38,0)").alias("h")))
+    if scans:
+        rows = functools.reduce(DataFrame.unionByName, scans)
+        sums = rows.groupBy("table").agg(F.count("*").alias("n"), F.sum("h").alias("s"))
+        found = {r["table"]: f"files {r['n']}:{r['s']}" for r in sums.collect()}
+        states |= {n: found.get(n, "files 0") for n in tables if n not in states}
+    return states
+
+
 def input_state(df: DataFrame) -> str:
-    """Which files a table is read from, with their sizes and times (one listing for each
-    folder); for a table without files, its plan. Changes when the data are replaced, under
-    the same names too."""
-    files = set(df.inputFiles())
-    if not files:
-        return f"plan {df.semanticHash()}"
-    spark = df.sparkSession
-    found = []
-    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
-        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(folder))
-        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        found += [(s.getPath().toString(), s.getLen(), s.getModificationTime())
-                  for s in system.listStatus(path) if s.isFile()]
-    return hashlib.sha256(repr((sorted(files), sorted(found))).encode()).hexdigest()
+    """:func:`input_states` of one table."""
+    return input_states({"table": df})["table"]
 
 
 def _whole(name: str, column: str, kind: T.DataType) -> Column:

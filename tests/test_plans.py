@@ -55,6 +55,7 @@ def test_revenue_reads_invoices_once_in_full(spark, stored):
     scans = _scans(text, "invoice")
     full = [s for s in scans if "GreaterThanOrEqual(period_end" not in s]
     assert len(full) == 1, scans
+    assert len(scans) == 2      # and the last two months once, for the expected invoices
     # the as-of bound reaches the scan of every invoice read
     assert all("LessThan(period_end" in s for s in scans)
 
@@ -68,6 +69,60 @@ def test_monthly_models_need_no_join(spark):
         assert text.count("Window") >= 2  # per customer, then one row per month
 
 
+def test_expected_invoices_read_two_months_once(spark, stored):
+    t, _ = stored
+    text = plan(revenue.expected_invoices(t.invoice, _subscriptions(t), AS_OF_TEST))
+    assert len(_scans(text, "invoice")) == 1 and "LeftAnti" not in text
+
+
+def test_prices_are_built_and_joined_once(spark, stored):
+    """A stored table of priced lines: prices, products, tiers and lines are read once, and the
+    model itself reads only that table. No row per line and tier arises."""
+    t, _ = stored
+    ms = ModelSet(t, AS_OF_TEST, materialize=["stg_subscription_item"])
+    lines = staging.priced_items(t.subscription_item, ms.prices, t.tier)
+    text = plan(lines)
+    for table in ("subscription_item", "price", "tier", "product"):
+        assert len(_scans(text, table)) == 1, table
+    assert lines.count() == t.subscription_item.count()
+    model = staging.items_with_amounts(ms.model("priced_items"))
+    text = plan(model)
+    assert not any(_scans(text, x) for x in ("subscription_item", "price", "tier", "product"))
+    assert text.count("Scan parquet") >= 2 and model.count() == lines.count()
+    ms.close()
+
+
+def test_hot_item_id_is_split(spark):
+    """A third of all lines share one id: the join with the sums per id is split."""
+    n = 30_000
+    lines = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("si"), "id")).alias("id"),
+        F.lit(None).cast("timestamp").alias("created"), F.lit(1).cast("long").alias("quantity"),
+        F.col("id").cast("string").alias("subscription_id"), F.lit("p").alias("plan_id"),
+        *[F.lit("x").alias(c) for c in staging.LINE_COLUMNS[5:]],
+        F.lit(2).cast("long").alias("line_cents"))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = staging.items_with_amounts(lines)
+        rows = df.groupBy("price_amount").count().collect()
+        df.collect()
+        final = plan(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert {(r["price_amount"], r["count"]) for r in rows} == {(n / 3 * 2 / 100, n // 3),
+                                                               (0.02, n - n // 3)}
+    assert "skew=true" in final
+
+
 def _subscriptions(t):
     return staging.stg_subscription(
         t.subscription_history, staging.stg_customer(t.customer, t.card),

@@ -6,11 +6,17 @@ import dataclasses
 import datetime as dt
 import os
 import tempfile
+import threading
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from tallyspark.plans import ModelSet, sinks
+from tallyspark.plans.names import named_tables
+from tallyspark.plans.versions import VersionLog
 from tallyspark.session import AS_OF_TEST
 from tallyspark.sources import derive_billing_tables
 
@@ -19,6 +25,10 @@ def _folder(name):
     return os.path.join(tempfile.mkdtemp(prefix="sink-"), name)
 
 
+def _versions(path):
+    return [f for f in os.listdir(path) if f.startswith("v-")]
+
+
 def test_model_table_create_keep_and_force(spark):
     path = _folder("t")
     a = spark.createDataFrame([(1,)], "x int")
@@ -30,9 +40,71 @@ def test_model_table_create_keep_and_force(spark):
     assert [r.x for r in sinks.write_model_table(b, path, force=True).collect()] == [2]
     assert [r.x for r in sinks.read_model_table(spark, path).collect()] == [2]
     assert [r.x for r in first.collect()] == [1]    # a reader of the version before is not cut off
+    # nor after any number of rebuilds within the retention time
     for i in range(3):
         sinks.write_model_table(spark.createDataFrame([(i,)], "x int"), path, force=True)
-    assert len([f for f in os.listdir(path) if f.startswith("v-")]) == sinks.KEPT_VERSIONS
+    assert [r.x for r in first.collect()] == [1]
+    assert len(_versions(path)) == 5
+    # versions that were replaced longer ago go, with their entries in the log
+    last = sinks.write_model_table(b, path, force=True, retain=0)
+    assert [r.x for r in last.collect()] == [2]
+    assert len(_versions(path)) == len(sinks._finished(spark, path)) == 1
+    assert sinks._finished(spark, path)[-1]["number"] == 6
+
+
+def test_vacuum_removes_what_never_finished(spark):
+    path = _folder("t")
+    for i in range(2):
+        sinks.write_model_table(spark.createDataFrame([(i,)], "x int"), path, force=True)
+    spark.createDataFrame([(0,)], "x int").write.parquet(f"{path}/v-dead")
+    sinks.vacuum(spark, path)
+    assert len(_versions(path)) == 3                # all younger than the retention time
+    sinks.vacuum(spark, path, retain=0)
+    assert len(_versions(path)) == 1
+    assert [r.x for r in sinks.read_model_table(spark, path).collect()] == [1]
+
+
+def test_writers_at_once_all_enter_the_log(spark):
+    path, n = _folder("t"), 6
+    start = threading.Barrier(n)
+
+    def write(i):
+        df = spark.createDataFrame([(i,)], "x int")
+        start.wait()
+        return [r.x for r in sinks.write_model_table(df, path, force=True).collect()]
+
+    with ThreadPoolExecutor(n) as pool:
+        assert sorted(pool.map(write, range(n))) == [[i] for i in range(n)]
+    done = sinks._finished(spark, path)
+    assert [e["number"] for e in done] == list(range(1, n + 1))
+    assert len({e["folder"] for e in done}) == n
+    assert not [f for f in os.listdir(f"{path}/_versions") if "draft" in f and "crc" not in f]
+
+
+def test_a_number_is_given_once(spark):
+    """Writers that have listed the same versions race for one name."""
+    log = VersionLog(spark, _folder("t"))
+    assert log.latest() is None and log.enter({"folder": "a"}) == 1
+    seen = [log.numbers()]
+    log.numbers = lambda real=log.numbers: seen.pop() if seen else real()
+    log.enter({"folder": "b"})
+    seen[:] = [[(1, 0)]]                            # an old listing: 2 is taken meanwhile
+    assert log.enter({"folder": "c"}) == 3
+    assert [log.read(i)["folder"] for i in (1, 2, 3)] == ["a", "b", "c"]
+
+
+def test_storing_a_model_is_one_spark_job(spark):
+    path = _folder("t")
+    df = spark.range(100).selectExpr("id as x")
+    for force in (True, True, False):
+        group = f"jobs-{uuid.uuid4().hex}"
+        spark.sparkContext.setJobGroup(group, "model")
+        try:
+            sinks.write_model_table(df, path, force=force)
+        finally:
+            spark.sparkContext.setJobGroup("none", "none")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        assert len(jobs) == (1 if force else 0)
 
 
 def test_other_stamp_or_schema_is_rebuilt(spark):
@@ -102,6 +174,37 @@ def test_only_updated_models_are_persisted(spark):
     assert not ms.persisted and not df.is_cached
 
 
+def test_no_cache_frees_every_older_version(spark):
+    """One registry for all model sets: what any of them has persisted for a path."""
+    tables, folder = derive_billing_tables(spark, SF_SMALL), _folder("models")
+
+    def held():
+        return spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def build(**kw):
+        ms = ModelSet(tables, AS_OF_TEST, materialize=["stg_customer"], folder=folder, **kw)
+        return ms, ms.model("stg_customer")
+
+    before = held()
+    build(cache=True)
+    _, second = build(cache=True)
+    second.count()
+    assert held() == before + 1
+    _, third = build(cache=True)                    # the newer one frees the older
+    third.count()
+    assert held() == before + 1 and not second.is_cached
+    build(cache=False)
+    assert held() == before and not third.is_cached
+    # closing an old set leaves a newer set's version in memory
+    old, _ = build(cache=True)
+    _, newer = build(cache=True)
+    newer.count()
+    old.close()
+    assert held() == before + 1 and newer.is_cached
+    sinks.cache_model(newer, no_cache=True, path=f"{folder}/stg_customer/")
+    assert held() == before
+
+
 def test_cache_and_uncache(spark):
     df = spark.range(10)
     assert sinks.cache_model(df).is_cached
@@ -120,12 +223,47 @@ def test_csv_export_keeps_labels_verbatim(spark):
     assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
 
 
+def test_a_failing_export_leaves_the_published_one(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="csv-"), "e")
+
+    def published():
+        return sorted(r.x for r in spark.read.schema("x long").option("header", True)
+                      .csv(path).collect())
+
+    sinks.export_csv(spark.range(5).selectExpr("id as x"), path)
+    bad = spark.range(5).select(F.when(F.col("id") > 3, F.raise_error(F.lit("broken")))
+                                .otherwise(F.col("id")).cast("long").alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.export_csv(bad, path)
+    assert published() == [0, 1, 2, 3, 4]
+    assert os.listdir(os.path.dirname(path)) == ["e"]       # nothing is left beside it
+    assert sinks.export_csv(spark.range(2).selectExpr("id as x"), path).count() == 2
+    assert published() == [0, 1] and os.listdir(os.path.dirname(path)) == ["e"]
+
+
+def test_exports_at_once_leave_one_whole(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="csv-"), "e")
+    frames = [spark.range(100 * i, 100 * i + 100).selectExpr("id as x") for i in range(4)]
+
+    def export(df):
+        stage = f"{path}.new-{uuid.uuid4().hex}"
+        df.write.option("header", True).csv(stage)
+        sinks._publish(spark, stage, path)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(export, frames))
+    rows = sorted(r.x for r in spark.read.schema("x long").option("header", True).csv(path)
+                  .collect())
+    assert rows in [list(range(100 * i, 100 * i + 100)) for i in range(4)]
+    assert os.listdir(os.path.dirname(path)) == ["e"]
+
+
 def test_build_until_and_adhoc_sql(spark):
     ms = ModelSet(derive_billing_tables(spark, SF_SMALL), AS_OF_TEST,
                   materialize=["revenue"])
     arr = ms.build_until("monthly_arr")
-    assert set(ms._built) == {"stg_customer", "stg_subscription_item", "stg_subscription",
-                              "revenue", "customer_months", "monthly_arr"}
+    assert set(ms._built) == {"stg_customer", "priced_items", "stg_subscription_item",
+                              "stg_subscription", "revenue", "customer_months", "monthly_arr"}
     n = ms.adhoc_sql("select count(*) as n from monthly_arr").collect()[0].n
     assert n == arr.count() > 0
     # the materialised model is a plain Parquet table in the checkpoint folder
@@ -148,3 +286,66 @@ def test_adhoc_sql_in_any_case_and_without_clobbering(spark):
         assert not spark.catalog.tableExists("raw_tier")
     finally:
         spark.catalog.dropTempView("monthly_customers")
+
+
+def test_names_that_a_text_looks_up(spark):
+    def names(text):
+        found, computed = named_tables(spark, text)
+        assert not computed
+        return {".".join(n) for n in found}
+
+    assert names("select 1") == set()
+    assert names("select a/100 /* from x */ from t where b/100 > (select max(c) from `U v`)"
+                 " -- w") == {"t", "U v"}
+    assert names("with a as (select * from r), b as (select * from a) select * from b join p "
+                 "on true") == {"r", "p"}
+    # a definition does not see itself, unless it is recursive
+    assert names("with r as (select * from r) select * from r") == {"r"}
+    assert names("with recursive r(n) as (select 1 union all select n + 1 from r where n < 5) "
+                 "select * from r, m") == {"m"}
+    # inner definitions count inside only
+    assert names("select * from (with q as (select 1) select * from q) join q on true") == {"q"}
+    assert names("select * from x where exists (select 1 from y where k in (select k from z)) "
+                 "order by (select 1 from w)") == {"x", "y", "z", "w"}
+    assert names("select * from a.b.c union all table d") == {"a.b.c", "d"}
+    assert names("describe table e") == {"e"} == names("cache table c as select * from e")
+    assert names("from f |> where x > 1 |> join g using (x)") == {"f", "g"}
+    assert names("select \"h\" as s, 'from i' as t from `j` as k") == {"j"}
+    assert named_tables(spark, "select * from identifier('m' || 'n')")[1]
+    with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR"):
+        named_tables(spark, "selct 1")
+
+
+ADHOC = """
+    /* revenue and stg_tier are named in a comment */
+    with big as (select price_id, unit_amount/100 as a from STG_TIER where unit_amount/100 > 0),
+         `stg_price` as (select 1 as one)          -- hides the model
+    select 'from monthly_arr' as label, "revenue" as other, count(*) as n,
+           (select count(*) from raw_tier) as raw
+    from big, `stg_price`
+"""
+
+
+def test_adhoc_sql_of_any_form(spark):
+    ms = ModelSet(derive_billing_tables(spark, SF_SMALL), AS_OF_TEST)
+    row = ms.adhoc_sql(ADHOC).first()
+    assert row.n == ms.model("stg_tier").where("unit_amount/100 > 0").count() > 0
+    assert row.label == "from monthly_arr" and row.other == "revenue"
+    assert row.raw == ms.tables.tier.count()
+    assert set(ms._built) == {"stg_tier"}
+    assert not spark.catalog.tableExists("stg_tier")
+    assert ms.adhoc_sql("select * from identifier('stg_' || 'tier')").count() == \
+        ms.model("stg_tier").count()
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        ms.adhoc_sql("select * from no_such_model")
+
+
+def test_adhoc_texts_at_once_do_not_mix_views(spark):
+    """Two sets over other data, asked at the same time, each answer from their own."""
+    tables = derive_billing_tables(spark, SF_SMALL)
+    fewer = dataclasses.replace(tables, tier=tables.tier.limit(3))
+    sets = [ModelSet(tables, AS_OF_TEST), ModelSet(fewer, AS_OF_TEST)] * 4
+    with ThreadPoolExecutor(8) as pool:
+        n = list(pool.map(lambda ms: ms.adhoc_sql("select count(*) c from stg_tier").first().c,
+                          sets))
+    assert n == [tables.tier.count(), 3] * 4
