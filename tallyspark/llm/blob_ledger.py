@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import uuid
@@ -21,7 +22,9 @@ from tallyspark.plans.versions import VersionLog
 class Rule:
     """A kind of secret. ``group`` of a match must have ``least`` characters or more;
     ``version`` changes whenever the pattern does, so that old blobs are scanned again.
-    Every match contains ``hint``: texts without it are not searched."""
+    Every match contains ``hint``: texts without it are not searched. A text with a match that is
+    long enough matches ``maybe``, a Java pattern: others need not be sent to where they would
+    be searched (empty: any text may)."""
 
     kind: str
     pattern: re.Pattern
@@ -30,24 +33,28 @@ class Rule:
     version: int = 1
     base: bool = False
     hint: str = ""
+    maybe: str = ""
 
 
 #: Fixed patterns and lengths of the base kinds, in their order.
 BASE_RULES = (
     Rule("assign", re.compile(
         r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-        re.ASCII), 8, 2, base=True),
-    Rule("access", re.compile(r"AKIA[A-Z0-9]+"), 16, base=True),
-    Rule("hex", re.compile(r"[0-9a-f]+"), 32, base=True),
+        re.ASCII), 8, 2, base=True,
+        maybe=r"""(?i)(?:passw(?:or)?d|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Z0-9+/_.=-]{8}"""),
+    Rule("access", re.compile(r"AKIA[A-Z0-9]+"), 16, base=True, maybe="AKIA[A-Z0-9]{12}"),
+    Rule("hex", re.compile(r"[0-9a-f]+"), 32, base=True, maybe="[0-9a-f]{32}"),
 )
 MORE_RULES = (
     Rule("pem", re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----(?:[^-]|-(?!----))+"
                            r"-----END [A-Z0-9 ]*PRIVATE KEY-----"), version=2,
-         hint="PRIVATE KEY"),
+         hint="PRIVATE KEY", maybe="PRIVATE KEY-----"),
     Rule("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-         hint="eyJ"),
-    Rule("forge", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"), hint="_"),
-    Rule("login", re.compile(r"://[^\s/:@]+:[^\s/:@]{3,}@"), version=2, hint="://"),
+         hint="eyJ", maybe="eyJ[A-Za-z0-9_-]{8}"),
+    Rule("forge", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"), hint="_",
+         maybe="gh[pousr]_[A-Za-z0-9]{36}"),
+    Rule("login", re.compile(r"://[^\s/:@]+:[^\s/:@]{3,}@"), version=2, hint="://",
+         maybe=r"://[^\s/:@]+:[^\s/:@]"),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -74,7 +81,14 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType())), True)])
 
 
+def may_match(text, rules):
+    """Whether a text column can hold a finding of any of the rules."""
+    tests = [text.rlike(r.maybe) if r.maybe else F.lit(True) for r in rules]
+    return F.coalesce(functools.reduce(lambda a, b: a | b, tests), F.lit(False))
+
+
 def _scan_batches(rules):
+    """Texts that cannot match are not sent along: null."""
     def run(batches):
         for b in batches:
             blobs, kinds, versions, spans = [], [], [], []
@@ -85,7 +99,7 @@ def _scan_batches(rules):
                     blobs.append(blob)
                     kinds.append(r.kind)
                     versions.append(r.version)
-                    spans.append(scan(text, r))
+                    spans.append([] if text is None else scan(text, r))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(blobs, pa.binary()), pa.array(kinds, pa.string()),
                  pa.array(versions, pa.int32()),
@@ -169,7 +183,10 @@ class Ledger:
         if todo.isEmpty():
             self.last_scanned = self.spark.createDataFrame([], LEDGER_SCHEMA)
         else:
-            one = held.join(todo.withColumnRenamed("path", "_path")
+            # only texts that may match move to the task where their blob is scanned
+            sent = held.withColumn("text", F.when(may_match(F.col("text"), rules),
+                                                  F.col("text")))
+            one = sent.join(todo.withColumnRenamed("path", "_path")
                             .withColumnRenamed("blob", "_b"),
                             (F.col("blob") == F.col("_b"))
                             & F.col("path").eqNullSafe(F.col("_path")))
@@ -276,8 +293,10 @@ def redact_documents(docs: DataFrame, ledger: Ledger | None = None, rules=RULES)
     versions = pick(docs, "doc_id", "text").withColumnRenamed("doc_id", "path")
     found = ledger.scan(versions, rules).groupBy("blob").agg(
         F.flatten(F.collect_list("spans")).alias("_found"))
-    joined = flat.withColumn("blob", address(name["text"])).join(found, "blob", "left").select(
-        *flat.columns, "_found")
+    # texts that cannot match any rule stay where they are
+    may = may_match(F.col(name["text"]).cast("string"), rules)
+    joined = flat.where(may).withColumn("blob", address(name["text"])).join(
+        found, "blob", "left").select(*flat.columns, "_found")
     schema = T.StructType([*flat.schema, T.StructField("_hit", T.BooleanType())])
     out = joined.mapInArrow(_redact_batches(flat.columns.index(name["text"]),
                                             len(flat.columns)), schema)
@@ -285,4 +304,4 @@ def redact_documents(docs: DataFrame, ledger: Ledger | None = None, rules=RULES)
         n = name["n_chars"]
         out = out.withColumn(n, F.when(F.col("_hit"), F.length(name["text"]).cast(
             flat.schema[n].dataType)).otherwise(F.col(n)))
-    return out.drop("_hit").toDF(*docs.columns)
+    return out.drop("_hit").unionByName(flat.where(~may)).toDF(*docs.columns)
