@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -15,8 +16,8 @@ from tallyspark.llm import linear
 from tallyspark.llm.common import pick, positional, stored
 
 PER_DOMAIN = 3_000       # labelled rows of each domain that fit the classifier (bound)
-VOCABULARY = 2_048       # words the classifier looks at (bound)
-MIN_DOCUMENTS = 4
+DIMENSIONS = 1 << 15     # buckets that the words of all texts are hashed to
+LEAST_EVIDENCE = 0.05    # of a word that all domains have alike
 ITERATIONS = 40
 STEPS = 60               # scaled gradient steps, at most
 RIDGE = 1e-6             # weight of changing the rates, beside missing the targets
@@ -56,34 +57,33 @@ def features(text: str | None) -> tuple[Counter, int]:
     return found, n
 
 
-def _bag_batches(batches):
-    for b in batches:
-        bags = [features(t)[0] for t in b.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(1), pa.array([list(x) for x in bags], pa.list_(pa.string()))],
-            ["domain", "words"])
-
-
 class DomainModel:
-    """Posteriors of the domains, from a text's words in a fixed vocabulary. A word counts by
-    its rarity (so that a few telling words outweigh common ones); rows have norm one."""
-
-    def __init__(self, domains: list[str], vocab: dict[str, int], rarity: np.ndarray,
-                 weights: np.ndarray):
-        self.domains, self.vocab, self.rarity, self.weights = domains, vocab, rarity, weights
-        self.words = frozenset(vocab)
+    """Posteriors of the domains, from all words of a text, hashed to buckets. A bucket counts by
+    its ``value`` (so that a few telling words outweigh common ones); rows have norm one."""
+
+    def __init__(self, domains: list[str], value: np.ndarray, weights: np.ndarray):
+        self.domains, self.value, self.weights = domains, value, weights
+        self.known: dict[str, int] = {}
+
+    def bucket(self, word: str) -> int:
+        at = self.known.get(word)
+        if at is None:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            at = self.known[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % len(
+                self.value)
+        return at
 
     def values(self, idx: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Values of the words of many rows that lie one after another."""
-        val = self.rarity[idx]
+        val = self.value[idx]
         ends = np.cumsum(sizes)
         squares = np.concatenate([[0.0], np.cumsum(val * val)])
         norms = np.sqrt(np.maximum(squares[ends] - squares[ends - sizes], 1e-12))
         return val / np.repeat(norms, sizes)
 
     def row(self, found) -> np.ndarray:
-        at = sorted(self.vocab[w] for w in self.words.intersection(found))
-        return np.array(at, np.int32)
+        return np.unique(np.fromiter(map(self.bucket, found), np.int32, len(found)))
 
     def posteriors(self, texts) -> tuple[np.ndarray, list[int]]:
         rows, tokens = [], []
@@ -106,11 +106,12 @@ def _rounded(p: np.ndarray) -> np.ndarray:
 
 
 def learn_domains(docs: DataFrame, domains: DataFrame, names: list[str],
-                  per_domain: int = PER_DOMAIN, vocabulary: int = VOCABULARY) -> DomainModel:
+                  per_domain: int = PER_DOMAIN, dimensions: int = DIMENSIONS) -> DomainModel:
     """Softmax regression on a bounded labelled sample (the ids of least hash of each domain;
-    they are sent to the readers). The vocabulary are the words whose presence differs most
-    between the domains (chi-squared of the presence table). Classes weigh as often as they
-    occur among the labels, so posteriors keep the labels' shares."""
+    they are sent to the readers). All words of a text count, each bucket by its rarity in the
+    sample and by how differently the domains have it: ``idf * (LEAST_EVIDENCE + ln(1 +
+    chi2)^2)``. Classes weigh as often as they occur among the labels, so posteriors keep
+    the labels' shares."""
     shares = {r["domain"]: r["count"] for r in domains.groupBy("domain").count().collect()}
     sample = None
     for d in names:
@@ -119,44 +120,51 @@ def learn_domains(docs: DataFrame, domains: DataFrame, names: list[str],
         sample = part if sample is None else sample.unionByName(part)
     sample = sample.withColumnRenamed("doc_id", "_id")
     held = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+    model = DomainModel(names, np.ones(dimensions), np.zeros((dimensions, len(names))))
+
+    def bags_of(batches):
+        for b in batches:
+            bags = [model.row(features(t)[0]) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(1), pa.array(bags, pa.list_(pa.int32()))], ["domain", "idx"])
+
     bags = stored(held.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-                  .select("text", "domain").mapInArrow(
-                      _bag_batches, "domain string, words array<string>"), "bags")
+                  .select("text", "domain").mapInArrow(bags_of, "domain string, idx array<int>"),
+                  "bags")
     sizes = {r["domain"]: r["count"] for r in bags.groupBy("domain").count().collect()}
     n = sum(sizes.values())
-    flat = np.zeros((1, len(names)))
     if not n:
-        return DomainModel(names, {}, np.zeros(1), flat)
-    words = bags.select("domain", F.explode("words").alias("w")).groupBy("w").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("domain") == d).alias(f"n_{i}")
-                                        for i, d in enumerate(names)])
-    chi2 = F.lit(0.0)
-    for i, d in enumerate(names):
-        want = F.col("n") * (sizes.get(d, 0) / n)
-        chi2 = chi2 + F.when(want > 0, F.pow(F.col(f"n_{i}") - want, F.lit(2)) / want).otherwise(0.0)
-    best = (words.where(F.col("n") >= MIN_DOCUMENTS).select("w", "n", chi2.alias("chi2"))
-            .orderBy(F.desc("chi2"), "w").limit(vocabulary).collect())
-    seen = {r["w"]: r["n"] for r in best} | {"\0any": n}
-    vocab = {w: i for i, w in enumerate(sorted(seen))}
-    rarity = np.array([1.0 if w == "\0any" else np.log((n + 1) / seen[w]) for w in sorted(seen)])
-    model = DomainModel(names, vocab, rarity, np.zeros((len(vocab), len(names))))
+        return model
+    # at most one row per bucket
+    seen = bags.select("domain", F.explode("idx").alias("i")).groupBy("i").agg(*[
+        F.count_if(F.col("domain") == d).alias(f"n_{k}") for k, d in enumerate(names)]).toArrow()
+    with_it = np.zeros((dimensions, len(names)))
+    with_it[seen.column("i").to_numpy()] = np.stack(
+        [seen.column(f"n_{k}").to_numpy() for k in range(len(names))], axis=1)
+    all_with = with_it.sum(axis=1)
+    want = all_with[:, None] * np.array([sizes.get(d, 0) for d in names]) / n
+    chi2 = (np.square(with_it - want) / np.where(want > 0, want, 1.0)).sum(axis=1)
+    model.value = np.log((n + 1) / np.maximum(all_with, 1)) * (
+        LEAST_EVIDENCE + np.square(np.log1p(chi2)))
+    model.value[model.bucket("\0any")] = 1.0
     total = sum(shares.get(d, 0) for d in names) or 1
     weight = {d: (shares.get(d, 0) / total) / (sizes[d] / n) for d in sizes}
 
     def rows(batches):
         for b in batches:
-            at = [model.row(w) for w in b.column("words").to_pylist()]
-            val = [model.values(a, np.array([len(a)])) for a in at]
+            sizes, flat = linear.pack(b.column("idx"))
+            val = pa.array(model.values(flat.astype(np.int64), sizes))
             want = [[weight[d] if d == x else 0.0 for x in names]
                     for d in b.column("domain").to_pylist()]
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.list_(pa.int32())),
-                 pa.array(val, pa.list_(pa.float64())), pa.array(want, pa.list_(pa.float64()))],
-                ["idx", "val", "want"])
+                [pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32())),
+                 pa.ListArray.from_arrays(ends, val),
+                 pa.array(want, pa.list_(pa.float64()))], ["idx", "val", "want"])
 
     fitted = stored(bags.mapInArrow(rows, "idx array<int>, val array<double>, want array<double>"),
                     "rows")
-    model.weights = linear.fit(fitted, len(vocab), len(names), ITERATIONS)
+    model.weights = linear.fit(fitted, dimensions, len(names), ITERATIONS)
     return model
 
 
