@@ -232,8 +232,8 @@ def scan_documents(docs: DataFrame, ledger: Ledger | None = None, rules=RULES) -
     """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans)``, one row per document row:
     the findings of its blob, joined back to every row that holds it.
 
-    A null text is the empty blob. Repeated rows and ids stay repeated. Other columns are
-    ignored; an empty table gives no rows.
+    A null text is the empty blob. Repeated rows and ids stay repeated. A text of any length
+    is searched whole. Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     ledger = ledger or Ledger(spark)

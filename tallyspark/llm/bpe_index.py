@@ -304,7 +304,10 @@ def _id_columns(vocab, texts, packed):
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``, one row per document row: the
     whole text encoded, then decoded. Null and empty texts have no tokens. Strings of
-    special tokens in a text get their ids. ``path`` names the vocabulary on every node."""
+    special tokens in a text get their ids. Repeated rows are encoded each; an empty table gives
+    no rows; other columns are ignored. A text of any length is encoded whole; memory grows with
+    its longest word (letters, numbers or blanks without a break): about 50 bytes for each
+    of that word's bytes. ``path`` names the vocabulary on every node."""
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(
         _encode_batches(path, 1, names, _digest_columns),
@@ -314,7 +317,8 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
 def encode_documents(docs: DataFrame, path: str, column: str = "token_ids") -> DataFrame:
     """``docs`` with one more column: the ids of the whole text (empty for null). The ids of every
     row are decoded again where they are made; a row whose ids do not give its text raises an
-    error."""
+    error. Repeated rows and other columns stay; an empty table stays empty; very long texts are
+    encoded whole, as :func:`encode_digests` says."""
     flat, name = positional(docs)
     at = flat.columns.index(name["text"])
     schema = T.StructType([*flat.schema, T.StructField("_ids", T.ArrayType(T.IntegerType()))])

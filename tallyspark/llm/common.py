@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 import zlib
@@ -59,15 +60,45 @@ def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 
 _MADE: dict[str, list[str]] = {}
+_STEP = threading.local()      # the folders that the present step of this thread has made
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder of the session."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     _MADE.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    if getattr(_STEP, "made", None) is not None:
+        _STEP.made.append(folder)
     return f"{folder}/{name}"
 
 
+def kept_step(spark: SparkSession, step, name: str) -> tuple[DataFrame, list[str]]:
+    """The rows of ``step()``, a function that gives a DataFrame, stored in a table of their own,
+    and that table's folder (to be discarded when its readers are done); every other folder
+    that the step (in this thread) has written is deleted then."""
+    outer, _STEP.made = getattr(_STEP, "made", None), []
+    try:
+        rows = step()
+        made, _STEP.made = _STEP.made, []
+        out = stored(rows, name)
+        kept = _STEP.made
+    finally:
+        _STEP.made = outer
+    if outer is not None:
+        outer += kept
+    discard(spark, made)
+    return out, kept
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    """Delete intermediate tables that nobody reads any more."""
+    mine = _MADE.get(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        delete_folder(spark, folder)
+        if folder in mine:
+            mine.remove(folder)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the intermediate tables that this application's operators have written. To be
     called once their results have been consumed (results read these tables)."""

@@ -273,7 +273,9 @@ def judge(docs: DataFrame, labels: DataFrame, **learning) -> DataFrame:
     The list is learned from all rows whose id has a label (``labels(doc_id, quality)``,
     0 is bad). A null or empty text has zero counts and fails the base rules. Repeated rows
     are judged alike. Repeated labels of an id count by their least quality; null labels and
-    ids are ignored, and without labels only the base rules decide.
+    ids are ignored, and without labels only the base rules decide. A text of any length is
+    counted whole, by Spark's functions over its words as one array; an empty table gives no
+    rows; other columns are ignored.
     """
     stats = stored(text_statistics(docs), "statistics")
     marks = (pick(labels, "doc_id", "quality").where("doc_id is not null and quality is not null")

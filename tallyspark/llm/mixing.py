@@ -301,7 +301,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
     ``rate`` is how often the document should occur, so that the expected tokens of each
     domain match ``targets`` of ``budget`` times the present total; ``copies`` is the rate
     rounded down or up at random (by a hash of the id), right on average. Null and empty
-    texts have no tokens and the posteriors of an empty text. Repeated rows get equal values.
+    texts have no tokens and the posteriors of an empty text; a text of any length counts whole,
+    one at a time. Repeated rows get equal values.
     Without labels all posteriors are equal. An empty table gives no rows.
     """
     members, _ = _members(docs, labels, targets, **learning)

@@ -225,7 +225,8 @@ def classify(docs: DataFrame, keep_at: float = KEEP_AT, **learning) -> DataFrame
     """``(doc_id, score, kept)``, one row per document row: the chance that it is good.
 
     Learned without any given label. Null texts count as empty, and are scored like any
-    other; repeated rows score alike; an empty table gives no rows. Other columns are ignored.
+    other; a text of any length is voted on and scored whole; repeated rows score alike; an
+    empty table gives no rows. Other columns are ignored.
     """
     model = learn(docs, **learning)
     sent = docs.sparkSession.sparkContext.broadcast(model)

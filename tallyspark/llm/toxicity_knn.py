@@ -372,7 +372,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, **learning) -> DataFrame
     ``held_out``: the id's fold is 0, so its label was not learned from (null for a null id).
     ``neighbours`` and ``cosines`` are the evidence: ids of the nearest examples. A text
     that shares no term with any example, an empty or a null one has none and gets the score of
-    no evidence (``share_without_neighbours`` says how many). Repeated rows score alike; without labels of both classes every score is the class share.
+    no evidence (``share_without_neighbours`` says how many); a text of any length is scored
+    whole. Repeated rows score alike; without labels of both classes every score is the class
+    share. An empty table gives no rows; other columns are ignored.
     """
     model = learn(docs, labels, **learning)
     sent = docs.sparkSession.sparkContext.broadcast(model)

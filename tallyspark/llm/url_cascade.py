@@ -244,7 +244,8 @@ def judge_pages(pages: DataFrame, listed: DataFrame | None = None, rules=RULES,
     Keys are host + path; the universe is every key of ``pages``. ``listed(key)`` defaults
     to the keys whose host has one of ``LISTED_WORDS`` in a label. Where no rule fits, a
     listed key is blocked and any other allowed; an empty host is never listed by default.
-    Null urls, repeated rows and other columns are allowed; no pages give no rows.
+    Null urls, urls of any length, repeated rows and other columns are allowed; no pages give no
+    rows.
     """
     host, path = host_and_path()
     p = pick(pages, "page_id", "url").select("page_id", host.alias("host"), path.alias("path"))

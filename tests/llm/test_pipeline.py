@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import corpus_pipeline as cp
+import pytest
 
 import __spark_entry__ as se
 from tallyspark.llm import blob_ledger, decision_list, mixing, simhash_vptree
+from tallyspark.llm.common import _MADE, kept_step, stored
 from tallyspark.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -32,10 +34,25 @@ def test_stages_in_order(spark, docs, labels):
             want = [r.doc_id for r in mixing.mix(before, labels, cp.TARGETS).collect()
                     for _ in range(r.copies)]
         assert sorted(r.doc_id for r in rows[name]) == sorted(want)
-    whole = cp.run(spark, SF).collect()
+    before = set(_MADE[spark.sparkContext.applicationId])
+    lazy = cp.run(spark, SF)
+    # of all that the stages wrote only the last one's input is left
+    assert len(set(_MADE[spark.sparkContext.applicationId]) - before) == 1
+    whole = lazy.collect()
     assert sorted(map(str, whole)) == sorted(map(str, rows["bpe_encoding"]))
 
 
+def test_a_failed_step_leaves_the_outer_one_in_order(spark):
+    def step():
+        stored(spark.range(3), "inner")
+        raise ValueError("broken")
+
+    with pytest.raises(ValueError, match="broken"):
+        kept_step(spark, step, "rows")
+    out, made = kept_step(spark, lambda: stored(spark.range(3), "inner"), "rows")
+    assert out.count() == 3 and len(made) == 1
+
+
 def test_empty_documents(spark, no_docs):
     kept = no_docs
     for _, stage in cp.STAGES:
@@ -46,4 +63,4 @@ def test_empty_documents(spark, no_docs):
 def test_registered():
     q = se.queries()
     assert {f.__name__ for f in QUERIES} | {"pipeline"} <= set(q)
-    assert sorted(int(n[2:].split("_")[0]) for n in q if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in q if n.startswith("op")) == list(range(1, 14))

@@ -5,9 +5,10 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyspark.llm import simhash_vptree as sv
-from tallyspark.llm.components import connected_components
+from tallyspark.llm.components import _large_star, connected_components
 
 
 def slow_fingerprint(text, k=3):
@@ -129,6 +130,55 @@ def test_repeated_row_stays_once(spark):
     assert sorted(r.doc_id for r in sv.keep_one_per_component(d).collect()) == [1, 2]
 
 
+def test_a_hub_is_split(spark):
+    """Nearly all edges meet in one vertex: the join with its minimum reads shuffles of its own,
+    which adaptive execution can split."""
+    edges = spark.range(40_000).select((F.col("id") + 10).alias("a"), F.when(
+        F.col("id") % 10 == 0, F.col("id") + 5).otherwise(F.lit(1)).cast("long").alias("b"))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        star = _large_star(edges)
+        star.collect()
+        text = star._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in text
+    assert {r["b"] for r in star.select("b").distinct().collect()} <= set(range(1, 40_011))
+
+
+def test_many_large_shards_are_each_split(spark):
+    """Eight clouds that lie apart: each is larger than a shard may be, and is split by a sample
+    of its own; shards that do not split are left to the blocks."""
+    rng = random.Random(3)
+    points = set()
+    for c in range(8):
+        centre = rng.getrandbits(64)
+        for _ in range(400):
+            p = centre
+            for b in rng.sample(range(64), 8):
+                p ^= 1 << b
+            points.add(p)
+    signed = [p - (1 << 64) if p >> 63 else p for p in points]
+    df = spark.createDataFrame([(s,) for s in signed], "fp long")
+    links = sv.near_links(df, 3, leaf_target=200, min_sample=4, sample=100, max_shard=150)
+    roots = {r.node: r.root for r in connected_components(links).collect()}
+    want, mine = {}, {}
+    component = components(points, 3)
+    for p, s in zip(points, signed, strict=True):
+        want.setdefault(component[p], set()).add(s)
+        mine.setdefault(roots.get(s, s), set()).add(s)
+    assert sorted(map(sorted, want.values())) == sorted(map(sorted, mine.values()))
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 2000 + i) for i in range(300)]
     edges += [(5, 5), (None, 3)]
