@@ -6,10 +6,12 @@ result is written as Parquet to the shared folder and read again as the next one
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.llm import blob_ledger, bpe_index, decision_list, mixing, simhash_vptree
-from tallyspark.llm.common import read_table, stored
+from tallyspark.llm.common import discard, kept_step, read_table
 from tallyspark.llm.queries import tokenizer_path
 
 
@@ -52,7 +54,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``: the columns of that table and ``token_ids``.
+
+    After each stage its result is stored, and what it and its predecessor have written beside
+    is deleted, so the shared folder holds two stages' tables at most. The last stage is lazy.
+    Null, empty and very long texts, repeated rows and ids, and an empty table pass through each
+    stage as its operator says; extra columns stay.
+    """
+    docs, held = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs, made = kept_step(spark, functools.partial(stage, spark, docs, sf_dir), name)
+        discard(spark, held)
+        held = made
     return STAGES[-1][1](spark, docs, sf_dir)
