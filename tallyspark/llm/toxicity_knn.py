@@ -1,5 +1,6 @@
-"""Toxicity by nearest labelled examples: exact cosine of class-weighted TF-IDF over all terms
-of the examples, by posting lists and block maxima."""
+"""Toxicity by nearest labelled examples: exact cosine of plain TF-IDF over all terms of the
+examples, by posting lists and block maxima. What the classes tell about a term counts in the
+neighbours' votes only."""
 
 from __future__ import annotations
 
@@ -19,7 +20,8 @@ PER_CLASS = 4_000        # labelled rows of each class that shape and fill the i
 BLOCK = 64               # examples of a block of the index
 LONG_LIST = 8            # a term of more than 1/8 of the examples has its postings in full rows
 TOGETHER = 256           # texts that are searched together
-NEIGHBOURS = 15
+NEIGHBOURS = 50
+LEAST_EVIDENCE = 0.05    # of a shared term that both classes have alike
 PRIOR_WEIGHT = 0.5       # weight of the class share beside the neighbours' votes
 TERM = re.compile(r"[^\W\d_]+")
 
@@ -69,8 +71,9 @@ class BlockMaxIndex:
 
     def __init__(self, vocab: dict[str, int], idf: np.ndarray, examples: np.ndarray | Sparse,
                  toxic: np.ndarray, weight: np.ndarray, ids: list, block: int = BLOCK,
-                 unseen: float = 0.0):
+                 unseen: float = 0.0, evidence: np.ndarray | None = None):
         self.vocab, self.idf, self.block, self.unseen = vocab, idf, block, unseen
+        self.evidence = np.ones(len(idf)) if evidence is None else evidence
         if isinstance(examples, np.ndarray):
             examples = Sparse.of([(np.flatnonzero(x).astype(np.int32), x[x != 0])
                                   for x in examples])
@@ -122,8 +125,14 @@ class BlockMaxIndex:
     def search_together(self, queries: list, k: int = NEIGHBOURS) -> list[tuple]:
         """For each ``(at, w)`` the ``k`` examples of highest cosine above zero (ties: the
         earlier), their cosines, and the number of blocks whose long lists were opened."""
+        return [x[:3] for x in self.evident_search(queries, k)]
+
+    def evident_search(self, queries: list, k: int = NEIGHBOURS) -> list[tuple]:
+        """:meth:`search_together`, and behind it each neighbour's cosine with every shared
+        term's part times the term's evidence."""
         if not self.size:
-            return [(np.zeros(0, np.int64), np.zeros(0, np.float32), 0) for _ in queries]
+            none = np.zeros(0, np.float32)
+            return [(np.zeros(0, np.int64), none, 0, none) for _ in queries]
         n_blocks, block = self.maxima.shape[1], self.block
         sums = np.zeros((len(queries), n_blocks * block), np.float32)
         asked = np.zeros((len(queries), len(self.maxima)), np.float32)
@@ -167,21 +176,25 @@ class BlockMaxIndex:
             # the cosines of those few once more, in an order that no other query has a part in
             dense[at] = w
             places, n = self.rows.spans(where)
-            cos = np.bincount(np.repeat(np.arange(len(where)), n), minlength=len(where),
-                              weights=dense[self.rows.at[places]] * self.rows.value[places])
+            owner, terms_at = np.repeat(np.arange(len(where)), n), self.rows.at[places]
+            part = dense[terms_at] * self.rows.value[places]
             dense[at] = 0.0
-            cos = cos.astype(np.float32)
+            cos = np.bincount(owner, weights=part, minlength=len(where)).astype(np.float32)
             best = np.lexsort((where, -cos))[:k]
             best = best[cos[best] > 0]
-            out.append((where[best], cos[best], int(opened[q].sum() + rest[q].sum())))
+            told = np.bincount(owner, weights=part * self.evidence[terms_at],
+                               minlength=len(where))
+            out.append((where[best], cos[best], int(opened[q].sum() + rest[q].sum()),
+                        told[best]))
         return out
 
     def search(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS):
         return self.search_together([(at, w)], k)[0]
 
-    def vote(self, where, cos, prior: float, prior_weight: float = PRIOR_WEIGHT) -> float:
-        """Share of toxic among the neighbours, weighted by closeness; the prior weighs in."""
-        near = cos.astype(float) ** 2 * self.weight[where]
+    def vote(self, where, told, prior: float, prior_weight: float = PRIOR_WEIGHT) -> float:
+        """Share of toxic among the neighbours, weighted by their closeness in terms that tell the
+        classes apart (``told``); the prior weighs in."""
+        near = np.square(told) * self.weight[where]
         return float((near @ self.toxic[where] + prior_weight * prior)
                      / (near.sum() + prior_weight))
 
@@ -279,9 +292,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     """Term weights, index and calibration from a bounded labelled sample.
 
     Every term of every sampled row is in the index. Its weight is its idf, from the document
-    frequencies that Spark counts over the whole table, times ``1 + ln(1 + chi2)``, where chi2
-    says how well its presence tells the sample's classes apart: no term weighs less than its
-    idf. Every sampled row is an example; equal vectors become one example with a share of
+    frequencies that Spark counts over the whole table. Its evidence, for the votes, is
+    ``LEAST_EVIDENCE + ln(1 + chi2) ^ 2``, where chi2 says how well its presence tells the
+    sample's classes apart. Every sampled row is an example; equal vectors become one example with a share of
     toxic rows. Half of the sample's rows (by a hash of the id) are examples while the curve is
     fitted on the votes for the other half; then all rows become examples.
     """
@@ -304,7 +317,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     chi2 = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (
         float(n0) * n1 * (a + b) * (n - a - b + 1e-9))
     frequency, whole = document_frequencies(docs, vocab)
-    idf = np.log((2 + whole) / (1 + frequency)) * (1 + np.log1p(chi2))
+    idf = np.log((2 + whole) / (1 + frequency))
+    evidence = LEAST_EVIDENCE + np.square(np.log1p(chi2))
     unseen = float(np.log((2 + whole) / (1 + whole / n)))  # as rare as one row of the sample
     sent = docs.sparkSession.sparkContext.broadcast(vocab)
 
@@ -344,16 +358,16 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
         weight = [1 + np.log(x + y) for _, x, y in merged.values()]
         return BlockMaxIndex(vocab, idf, Sparse.of([unit(*key) for key in merged]),
                              np.array(toxic), np.array(weight), [m[0] for m in merged.values()],
-                             unseen=unseen)
+                             unseen=unseen, evidence=evidence)
 
     trial = build([r for r in rows if r["half"] == 0])
     votes, y, weight = [], [], []
     asked = [r for r in rows if r["half"] == 1]
     for i in range(0, len(asked), TOGETHER):
         part = asked[i:i + TOGETHER]
-        for r, (where, cos, _) in zip(part, trial.search_together(
+        for r, (where, _, _, told) in zip(part, trial.evident_search(
                 [unit(r["at"], r["tf"]) for r in part]), strict=True):
-            vote = trial.vote(where, cos, prior)
+            vote = trial.vote(where, told, prior)
             for label, count, w in ((1, r["a"], w1), (0, r["b"], w0)):
                 if count:
                     votes.append(vote)
@@ -392,9 +406,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, **learning) -> DataFrame
                 keys = [hashlib.blake2b(at.tobytes() + w.tobytes(), digest_size=16).digest()
                         for at, w in vectors]
                 fresh = {k: v for k, v in zip(keys, vectors, strict=True) if k not in cache}
-                for k, (where, cos, _) in zip(fresh, m.index.search_together(
+                for k, (where, cos, _, told) in zip(fresh, m.index.evident_search(
                         list(fresh.values())) if fresh else [], strict=True):
-                    cache[k] = (m.score(m.index.vote(where, cos, m.prior)),
+                    cache[k] = (m.score(m.index.vote(where, told, m.prior)),
                                 [m.index.ids[j] for j in where], cos.tolist())
                 found += [cache[k] for k in keys]
             out, near, cosines = zip(*found, strict=True) if found else ((), (), ())

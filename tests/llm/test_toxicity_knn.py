@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import collections
+import math
 import zlib
 
 import numpy as np
@@ -118,3 +120,88 @@ def test_postings_need_no_small_vocabulary():
         every = np.array([w @ [dict(zip(*e, strict=True)).get(t, 0.0) for t in at] for e in rows])
         assert index.ids[where[0]] == i
         assert np.allclose(cos, np.sort(every)[::-1][:len(cos)], atol=1e-5)
+
+
+def plain_examples(docs, labels):
+    """Weights, evidence and examples of the whole labelled table in plain Python."""
+    rows = [(r.doc_id, tk.terms(r.text)) for r in docs.collect()]
+    df = collections.Counter(t for _, ts in rows for t in set(ts))
+    n_rows = len(rows)
+    truth = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.toxic is not None and fold(r.doc_id):
+            truth[r.doc_id] = max(r.toxic, truth.get(r.doc_id, 0))
+    learned = {i: ts for i, ts in rows if i in truth}
+    n1 = sum(truth[i] for i in learned)
+    n0 = len(learned) - n1
+    with_t = collections.Counter((t, truth[i]) for i, ts in learned.items() for t in set(ts))
+    idf, evidence = {}, {}
+    for t in {t for t, _ in with_t}:
+        a, b = with_t[t, 1], with_t[t, 0]
+        n = n0 + n1
+        chi2 = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (
+            n0 * n1 * (a + b) * (n - a - b + 1e-9))
+        idf[t] = math.log((2 + n_rows) / (1 + df[t]))
+        evidence[t] = tk.LEAST_EVIDENCE + math.log1p(chi2) ** 2
+    unseen = math.log((2 + n_rows) / (1 + n_rows / (n0 + n1)))
+
+    def vector(ts):
+        w = {t: (1 + math.log(c)) * idf.get(t, unseen)
+             for t, c in collections.Counter(ts).items()}
+        norm = math.sqrt(sum(x * x for x in w.values())) or 1.0
+        return {t: x / norm for t, x in w.items() if t in idf}
+
+    prior = sum(truth.values()) / len(truth)
+    merged = {}
+    for i, ts in learned.items():
+        m = merged.setdefault(tuple(sorted(collections.Counter(ts).items())), [ts, 0, 0])
+        m[1 + (truth[i] == 0)] += 1
+    w1, w0 = prior / n1, (1 - prior) / n0
+    examples = [(vector(ts), a * w1 / (a * w1 + b * w0), 1 + math.log(a + b))
+                for ts, a, b in merged.values()]
+    return vector, evidence, examples, prior
+
+
+def test_weights_and_votes_match_plain_python(docs, labels):
+    model = tk.learn(docs, labels)
+    vector, evidence, examples, prior = plain_examples(docs, labels)
+    assert abs(model.prior - prior) < 1e-9 and model.index.size == len(examples)
+    compared = 0
+    for r in docs.collect():
+        at, w = model.index.vector(tk.terms(r.text))
+        where, cos, _, told = model.index.evident_search([(at, w)])[0]
+        q = vector(tk.terms(r.text))
+        every = sorted(((sum(x * e.get(t, 0.0) for t, x in q.items()),
+                         sum(x * e.get(t, 0.0) * evidence[t] for t, x in q.items()), y, m)
+                        for e, y, m in examples), key=lambda x: -x[0])
+        top = [x for x in every[:tk.NEIGHBOURS] if x[0] > 1e-7]
+        assert np.allclose(cos[:len(top)], [x[0] for x in top], atol=1e-4)
+        if len(every) > tk.NEIGHBOURS and every[tk.NEIGHBOURS - 1][0] - every[
+                tk.NEIGHBOURS][0] < 1e-5:
+            continue        # a tie at the last neighbour
+        near = [x[1] ** 2 * x[3] for x in top]
+        slow = (sum(n * x[2] for n, x in zip(near, top)) + tk.PRIOR_WEIGHT * prior) / (
+            sum(near) + tk.PRIOR_WEIGHT)
+        assert abs(model.index.vote(where, told, model.prior) - slow) < 1e-3
+        compared += 1
+    assert compared > 100
+
+
+def test_calibration_is_the_least_loss():
+    rng = np.random.default_rng(3)
+    votes = rng.random(300)
+    y = (rng.random(300) < votes ** 2).astype(int)
+    weight = rng.uniform(0.5, 2, 300)
+    slope, shift = tk.calibrate(votes, y, weight)
+    z = np.log((votes + 1e-3) / (1 - votes + 1e-3))
+    up, down = weight[y == 1].sum(), weight[y == 0].sum()
+    want = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
+
+    def loss(a, b):
+        p = 1 / (1 + np.exp(-(a * z + b)))
+        return -(weight * (want * np.log(p) + (1 - want) * np.log(1 - p))).sum() + 5e-4 * (
+            (a - 1) ** 2 + b * b)
+
+    for da in (-0.01, 0, 0.01):
+        for db in (-0.01, 0, 0.01):
+            assert loss(slope + da, shift + db) >= loss(slope, shift) - 1e-9
