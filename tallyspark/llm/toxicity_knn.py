@@ -83,6 +83,7 @@ class BlockMaxIndex:
         order = np.argsort([at[v.argmax()] if len(at) else -1 for at, v in rows], kind="stable")
         order = order.astype(int)
         self.rows = Sparse.of([rows[i] for i in order])
+        self.telling = (self.rows.value * self.evidence[self.rows.at]).astype(np.float32)
         self.toxic, self.weight = toxic[order], weight[order]
         self.ids = [ids[i] for i in order]
         self.size = len(order)
@@ -167,23 +168,28 @@ class BlockMaxIndex:
             least = np.partition(led, led.shape[1] - k, axis=1)[:, -k] - 1e-5
         rest = ~opened & (bounds >= least[:, None]) & (bounds > 0)
         open_blocks(rest)
-        out, dense = [], np.zeros(len(self.idf))
+        out, dense = [], np.zeros(len(self.idf), np.float32)
+        begin, stop = self.rows.start[:-1], self.rows.start[1:]
         for q, (at, w) in enumerate(queries):
             where = np.flatnonzero((sums[q] >= least[q]) & (sums[q] > 0))
             if len(where) > k:
                 near = sums[q, where]
                 where = where[near >= np.partition(near, len(near) - k)[-k] - 1e-5]
             # the cosines of those few once more, in an order that no other query has a part in
-            dense[at] = w
-            places, n = self.rows.spans(where)
-            owner, terms_at = np.repeat(np.arange(len(where)), n), self.rows.at[places]
-            part = dense[terms_at] * self.rows.value[places]
-            dense[at] = 0.0
-            cos = np.bincount(owner, weights=part, minlength=len(where)).astype(np.float32)
+            cos = told = np.zeros(0, np.float32)
+            if len(where):
+                cuts = list(zip(begin[where].tolist(), stop[where].tolist(), strict=True))
+                dense[at] = w
+                part = dense[np.concatenate([self.rows.at[s:e] for s, e in cuts])]
+                dense[at] = 0.0
+                # examples above zero have terms, so no piece is empty
+                heads = np.cumsum([0, *[e - s for s, e in cuts[:-1]]])
+                cos = np.add.reduceat(part * np.concatenate(
+                    [self.rows.value[s:e] for s, e in cuts]), heads).astype(np.float32)
+                told = np.add.reduceat(part * np.concatenate(
+                    [self.telling[s:e] for s, e in cuts]), heads)
             best = np.lexsort((where, -cos))[:k]
             best = best[cos[best] > 0]
-            told = np.bincount(owner, weights=part * self.evidence[terms_at],
-                               minlength=len(where))
             out.append((where[best], cos[best], int(opened[q].sum() + rest[q].sum()),
                         told[best]))
         return out
