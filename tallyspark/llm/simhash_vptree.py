@@ -211,13 +211,16 @@ def _shard_links(r):
 def _samples(rows: DataFrame, big: dict[str, int], each: int, seed: int) -> dict[str, np.ndarray]:
     """About ``each`` own fingerprints of every shard in ``big``, in an order that does not depend
     on partitions: those whose hash falls into the shard's share of all hashes."""
-    spark = rows.sparkSession
-    shares = F.broadcast(spark.createDataFrame(
-        [(s, min(1 << 31, -(-(each << 31) // n))) for s, n in big.items()],
-        "shard string, share long"))
-    picked = rows.where("own").join(shares, "shard").where(
-        F.pmod(F.xxhash64("fp", F.lit(seed)), F.lit(1 << 31)) < F.col("share")).select(
-        "shard", "fp").orderBy("shard", "fp").toArrow()
+    share = {s: min(1 << 31, -(-(each << 31) // n)) for s, n in big.items()}
+    own = rows.where("own")
+    if len(share) == 1:             # the whole table, at first
+        (shard, only), = share.items()
+        own = own.where(F.col("shard") == shard).withColumn("share", F.lit(only))
+    else:
+        own = own.join(F.broadcast(rows.sparkSession.createDataFrame(
+            list(share.items()), "shard string, share long")), "shard")
+    picked = own.where(F.pmod(F.xxhash64("fp", F.lit(seed)), F.lit(1 << 31)) < F.col("share")
+                       ).select("shard", "fp").orderBy("shard", "fp").toArrow()
     by_shard: dict[str, list[int]] = {}
     for s, fp in zip(picked["shard"].to_pylist(), picked["fp"].to_pylist(), strict=True):
         by_shard.setdefault(s, []).append(fp)
@@ -324,7 +327,8 @@ def keep_one_per_component(docs: DataFrame, k: int = SHINGLE_WORDS, r: int = MAX
         F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
     drop = per_id.where("n = 1 and doc_id is not null and not stays").select("doc_id")
     odd = stored(per_id.where("n > 1 or doc_id is null").select("doc_id"), "odd")
-    plain = (flat.join(drop, ids == drop["doc_id"], "left_anti")
+    # the ids that go grow with the table: at every size a merge join, never a broadcast
+    plain = (flat.join(drop.hint("merge"), ids == drop["doc_id"], "left_anti")
              .join(odd, ids.eqNullSafe(odd["doc_id"]), "left_anti"))
     if odd.isEmpty():
         return plain.toDF(*docs.columns)
