@@ -3,14 +3,15 @@
     python -m tallyspark.plans.cli setup  --billing DIR --config DIR [--force]
     python -m tallyspark.plans.cli create --billing DIR --out DIR [--config DIR]
                                           [--as-of YYYY-MM-DD] [--model NAME]
-                                          [--force] [--no-cache]
+                                          [--force] [--no-cache] [--retain-hours H]
 
 ``setup`` fails if there is a config already, unless ``--force``. ``create`` builds the
 model graph in order, writes every model as a Parquet table under ``--out/models`` and
 exports the two public metric tables as CSV under ``--out/exports``. A stored table is kept
 only while its as-of date, config and inputs are the same; ``--force`` rebuilds all.
 ``--model`` builds up to that model, by force, and stops. ``--no-cache`` skips keeping
-updated models in memory.
+updated models in memory, and frees what this application has kept of older versions. A version
+that a newer one replaced more than ``--retain-hours`` ago (default 24) is deleted.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ def create(args: argparse.Namespace) -> None:
     tables = read_billing_tables(spark, args.billing, args.format, product_config=config)
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
     ms = ModelSet(tables, as_of, folder=f"{args.out}/models", force=args.force or bool(args.model),
-                  cache=not args.no_cache,
+                  cache=not args.no_cache, retain=args.retain_hours * 3600,
                   materialize=[n for n in ModelSet.NAMES if n not in EXPORTS])
     names = ms.names
     if args.model:
@@ -77,6 +78,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--model")
     c.add_argument("--force", action="store_true")
     c.add_argument("--no-cache", action="store_true")
+    c.add_argument("--retain-hours", type=float, default=sinks.RETAIN_SECONDS / 3600)
     args = p.parse_args(argv)
     (setup if args.cmd == "setup" else create)(args)
     return 0

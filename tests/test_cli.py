@@ -41,5 +41,8 @@ def test_setup_then_create_until_a_model(spark):
               "--as-of", "2001-06-15", "--no-cache"])
     assert sorted(os.listdir(f"{root}/out/exports")) == ["exported_latest_metrics",
                                                           "exported_quarterly_metrics"]
+    # without a retention time only the present versions are left
+    cli.main([*again, "--model", "stg_customer", "--retain-hours", "0"])
+    assert len(sinks._finished(spark, f"{root}/out/models/stg_customer")) == 1
     latest = spark.read.option("header", True).csv(f"{root}/out/exports/exported_latest_metrics")
     assert latest.count() == 13
