@@ -179,6 +179,43 @@ def test_hot_subscription_is_split(spark, stored):
     assert re.search(r"hashpartitioning\(recognized_at.*?amount.*?REPARTITION_BY_COL", final)
 
 
+def test_revenue_moves_once_behind_the_join(spark, stored):
+    """Without a hot subscription the instalments, both distincts and the consolidation lie as
+    the join left them; with one, the join is split and the rows are dealt by all columns. The
+    rows are the same."""
+    t, _ = stored
+    subs = _subscriptions(t)
+    hot = subs.where("plan_recurring_interval = 'year' and plan_recurring_interval_count = 1"
+                     ).first()["id"]
+    inv = t.invoice.withColumn("subscription_id", F.when(
+        F.pmod(F.xxhash64("id"), F.lit(2)) == 0, F.lit(hot)).otherwise(F.col("subscription_id")))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    split = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    before = {k: spark.conf.get(k, None) for k in keys | split}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = revenue.revenue(inv, subs, AS_OF_TEST)
+        rows = sorted(map(str, df.collect()))
+        once = plan(df)
+        for k, v in split.items():
+            spark.conf.set(k, v)
+        df = revenue.revenue(inv, subs, AS_OF_TEST)
+        assert sorted(map(str, df.collect())) == rows
+        spread = plan(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    dealt = re.compile(r"hashpartitioning\((?=.*recognized_at).*amount.*ENSURE_REQUIREMENTS")
+    assert "skew=true" not in once and not dealt.search(once)
+    assert not re.search(r"hashpartitioning\(_(month|groupingexpression)", once)
+    assert "skew=true" in spread and dealt.search(spread)
+
+
 def test_null_foreign_keys_spread_but_never_match(spark):
     rows = [(f"in_{i}", None if i % 3 else f"cus_{i % 50}") for i in range(3000)]
     inv = spark.createDataFrame(rows, "id string, customer_id string")
