@@ -8,6 +8,7 @@ import hashlib
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -83,7 +84,6 @@ class BlockMaxIndex:
         order = np.argsort([at[v.argmax()] if len(at) else -1 for at, v in rows], kind="stable")
         order = order.astype(int)
         self.rows = Sparse.of([rows[i] for i in order])
-        self.telling = (self.rows.value * self.evidence[self.rows.at]).astype(np.float32)
         self.toxic, self.weight = toxic[order], weight[order]
         self.ids = [ids[i] for i in order]
         self.size = len(order)
@@ -96,6 +96,8 @@ class BlockMaxIndex:
         at, n = self.postings.spans(long)
         self.full[self.postings.at[at], np.repeat(np.arange(len(long)), n)] = (
             self.postings.value[at])
+        # for the votes: the same rows, each term's weight times its evidence
+        self.telling = self.full * self.evidence[long].astype(np.float32)
         self.maxima = np.zeros((len(long), n_blocks), np.float32)
         for b in range(n_blocks):
             self.maxima[:, b] = self.full[b * block:(b + 1) * block].max(axis=0)
@@ -112,7 +114,7 @@ class BlockMaxIndex:
         """Numbers, in order, and weights of a text's terms that examples have. The weights are
         those of the unit vector of all its terms."""
         found = Counter(words)
-        at = np.fromiter((self.vocab.get(t, -1) for t in found), np.int64, len(found))
+        at = np.fromiter(map(self.vocab.get, found, repeat(-1)), np.int64, len(found))
         tf = 1 + np.log(np.fromiter(found.values(), np.float64, len(found)))
         known = at >= 0
         beyond = np.square(tf[~known] * self.unseen).sum()
@@ -135,7 +137,8 @@ class BlockMaxIndex:
             none = np.zeros(0, np.float32)
             return [(np.zeros(0, np.int64), none, 0, none) for _ in queries]
         n_blocks, block = self.maxima.shape[1], self.block
-        sums = np.zeros((len(queries), n_blocks * block), np.float32)
+        short = np.zeros((len(queries), n_blocks * block), np.float32)  # of the short lists
+        told_short = np.zeros_like(short)
         asked = np.zeros((len(queries), len(self.maxima)), np.float32)
         for q, (at, w) in enumerate(queries):
             column = self.column[at]
@@ -143,9 +146,13 @@ class BlockMaxIndex:
             asked[q, column[is_long]] = w[is_long]
             places, n = self.postings.spans(at[~is_long])
             if len(places):
-                sums[q] = np.bincount(self.postings.at[places], minlength=sums.shape[1],
-                                      weights=self.postings.value[places] * np.repeat(
-                                          w[~is_long], n))
+                row = self.postings.at.take(places, mode="clip").astype(np.intp)
+                part = self.postings.value.take(places, mode="clip")
+                part *= np.repeat(w[~is_long], n)
+                short[q] = np.bincount(row, part, short.shape[1])
+                part *= np.repeat(self.evidence[at[~is_long]].astype(np.float32), n)
+                told_short[q] = np.bincount(row, part, short.shape[1])
+        sums = short.copy()
         bounds = sums.reshape(len(queries), n_blocks, block).max(axis=2) + asked @ self.maxima
 
         def open_blocks(mask):
@@ -168,26 +175,19 @@ class BlockMaxIndex:
             least = np.partition(led, led.shape[1] - k, axis=1)[:, -k] - 1e-5
         rest = ~opened & (bounds >= least[:, None]) & (bounds > 0)
         open_blocks(rest)
-        out, dense = [], np.zeros(len(self.idf), np.float32)
-        begin, stop = self.rows.start[:-1], self.rows.start[1:]
-        for q, (at, w) in enumerate(queries):
+        out = []
+        for q in range(len(queries)):
             where = np.flatnonzero((sums[q] >= least[q]) & (sums[q] > 0))
             if len(where) > k:
                 near = sums[q, where]
                 where = where[near >= np.partition(near, len(near) - k)[-k] - 1e-5]
-            # the cosines of those few once more, in an order that no other query has a part in
-            cos = told = np.zeros(0, np.float32)
-            if len(where):
-                cuts = list(zip(begin[where].tolist(), stop[where].tolist(), strict=True))
-                dense[at] = w
-                part = dense[np.concatenate([self.rows.at[s:e] for s, e in cuts])]
-                dense[at] = 0.0
-                # examples above zero have terms, so no piece is empty
-                heads = np.cumsum([0, *[e - s for s, e in cuts[:-1]]])
-                cos = np.add.reduceat(part * np.concatenate(
-                    [self.rows.value[s:e] for s, e in cuts]), heads).astype(np.float32)
-                told = np.add.reduceat(part * np.concatenate(
-                    [self.telling[s:e] for s, e in cuts]), heads)
+            # the long lists of those few once more, in an order that no other query has a part
+            # in; the short lists' sums are the query's own
+            column = np.flatnonzero(asked[q])
+            at = where[:, None] * asked.shape[1] + column
+            w = asked[q, column]
+            cos = short[q, where] + (self.full.take(at) * w).sum(axis=1)
+            told = told_short[q, where] + (self.telling.take(at) * w).sum(axis=1)
             best = np.lexsort((where, -cos))[:k]
             best = best[cos[best] > 0]
             out.append((where[best], cos[best], int(opened[q].sum() + rest[q].sum()),
@@ -272,10 +272,14 @@ def _count_batches(sent):
         vocab = sent.value
         counts, rows = np.zeros(len(vocab), np.int64), 0
         for b in batches:
-            for t in b.column(0).to_pylist():
-                at = [i for i in map(vocab.get, set(terms(t))) if i is not None]
-                counts[at] += 1
-                rows += 1
+            texts = b.column(0).to_pylist()
+            rows += len(texts)
+            for i in range(0, len(texts), TOGETHER):
+                # behind the last place: terms that the vocabulary lacks
+                at = np.fromiter(chain.from_iterable(
+                    map(vocab.get, set(terms(t)), repeat(len(vocab)))
+                    for t in texts[i:i + TOGETHER]), np.int64)
+                counts += np.bincount(at, minlength=len(vocab) + 1)[:-1]
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(counts[at], rows))],

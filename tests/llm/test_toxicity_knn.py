@@ -122,6 +122,31 @@ def test_postings_need_no_small_vocabulary():
         assert np.allclose(cos, np.sort(every)[::-1][:len(cos)], atol=1e-5)
 
 
+def test_evidence_adds_up_over_short_and_long_lists():
+    """Cosines and evidence are those of whole rows, of the lists by posting and of those in
+    full rows, and a query's are the same to the last bit whatever it is searched with."""
+    rng = np.random.default_rng(5)
+    n, v = 300, 500
+    rows = []
+    for _ in range(n):
+        at = np.unique(np.append(rng.integers(20, v, 15), rng.integers(0, 20, 9))).astype(np.int32)
+        w = rng.random(len(at)).astype(np.float32)
+        rows.append((at, w / np.linalg.norm(w)))
+    evidence = rng.random(v) + 0.05
+    index = tk.BlockMaxIndex({}, np.ones(v), tk.Sparse.of(rows), np.zeros(n), np.ones(n),
+                             list(range(n)), 16, evidence=evidence)
+    assert 0 < index.full.shape[1] < v
+    assert np.allclose(index.telling, index.full * evidence[index.column >= 0])
+    x = index.examples.astype(float)
+    together = index.evident_search(rows, 20)
+    for (at, w), (where, cos, _, told) in zip(rows, together, strict=True):
+        assert np.allclose(cos, np.sort(x[:, at] @ w)[::-1][:20], atol=1e-6)
+        assert np.allclose(told, x[where][:, at] @ (w * evidence[at]), atol=1e-6)
+        alone = index.evident_search([(at, w)], 20)[0]
+        assert np.array_equal(alone[0], where)
+        assert np.array_equal(alone[1], cos) and np.array_equal(alone[3], told)
+
+
 def plain_examples(docs, labels):
     """Weights, evidence and examples of the whole labelled table in plain Python."""
     rows = [(r.doc_id, tk.terms(r.text)) for r in docs.collect()]
